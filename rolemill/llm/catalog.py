@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rolemill.llm import queries_dedup, queries_text
+from rolemill.llm import queries_dedup, queries_text, queries_vectors
 
-QUERIES = {**queries_text.QUERIES, **queries_dedup.QUERIES}
-SQL = {**queries_text.SQL, **queries_dedup.SQL}
+QUERIES = {**queries_text.QUERIES, **queries_dedup.QUERIES, **queries_vectors.QUERIES}
+SQL = {**queries_text.SQL, **queries_dedup.SQL, **queries_vectors.SQL}
