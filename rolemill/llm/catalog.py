@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from rolemill.llm import queries_dedup, queries_text, queries_vectors
+from rolemill.llm import queries_dedup, queries_text, queries_values, queries_vectors
 
-QUERIES = {**queries_text.QUERIES, **queries_dedup.QUERIES, **queries_vectors.QUERIES}
-SQL = {**queries_text.SQL, **queries_dedup.SQL, **queries_vectors.SQL}
+_MODULES = (queries_values, queries_dedup, queries_vectors, queries_text)
+QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
+SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}
