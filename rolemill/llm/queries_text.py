@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolemill.llm.packing import pack
+from rolemill.llm.stuffing import page_curves, stuffed_pages
 from rolemill.llm.tokens import count_tokens, decode_corpus, encode_corpus
 from rolemill.session import load, materialize
 
@@ -35,7 +36,17 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.agg(F.count("*").alias("containers"), F.sum("used").alias("tokens"), F.max("used").alias("fullest"), F.round(F.sum("used") / (F.count("*") * CAPACITY), 6).alias("fill"))
 
 
-QUERIES = {"p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_containers": p7_containers, "p7_fill": p7_fill}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stuffed_pages(load(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p8_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The typical rank-frequency curve of every length: the middle of the pages' slopes and residuals."""
+    curves = page_curves(load(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+    return curves.groupBy("size").agg(F.count("*").alias("pages"), F.round(F.avg("slope"), 4).alias("slope"), F.round(F.avg("residual"), 4).alias("residual"))
+
+
+QUERIES = {"p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_found": p8_found, "p8_curves": p8_curves}
 
 SQL = {
     "p6_roundtrip": "SELECT count(*) AS docs, sum(length(coalesce(text, ''))) AS chars, sum(strlen(coalesce(text, ''))) AS bytes FROM documents",
