@@ -48,6 +48,7 @@ FILLER = frozenset("the of and at for in a an careers career jobs job team hirin
 NOBODY = frozenset("confidential undisclosed disclosed stealth startup unknown none anonymous private employer client unnamed various tbd not specified multiple recruiter withheld blank null".split())
 ALIAS = re.compile(r"\s*[-–—,(]?\s*\b(?:d/b/a|dba|doing business as|also known as|a/k/a|aka|trading as|t/a|formerly known as|formerly|previously)\b\s*", re.I)
 MAX_WORDS = 2
+PAIRS_PER_TASK = 200_000
 
 
 def _abbreviates(short: str, word: str) -> bool:
@@ -275,7 +276,9 @@ def radius_pairs(pairs: DataFrame, radius: int, pivots: int | None = None, home_
                 cell, row = np.nonzero(far <= far.min(axis=0) + 2 * radius)
                 yield pa.record_batch([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array((near[row] == cell).astype(np.int32))], names=["a", "b", "cell", "home"])
 
-    placed = pairs.select("a", "b").repartition("b").mapInArrow(cells, "a string, b string, cell int, home int")
+    # the work is names x pivots: an even share for every task
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n * wanted // PAIRS_PER_TASK))
+    placed = pairs.select("a", "b").repartition(tasks, "a", "b").mapInArrow(cells, "a string, b string, cell int, home int")
     sizes = placed.groupBy("cell").agg(F.sum("home").alias("h")).collect()  # one row a pivot
     grid = spark.createDataFrame([(r["cell"], max(1, -(-r["h"] // home_rows))) for r in sizes] or [(0, 1)], "cell int, parts int")
     part = F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int")
