@@ -8,12 +8,13 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from rolemill.functions import tables as T
 from rolemill.functions.normalize import squeeze, strip
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_nfkc(c: pd.Series) -> pd.Series:
     """Entities decoded and compatibility forms composed: neither has a built-in function."""
     import html
