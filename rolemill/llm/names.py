@@ -279,6 +279,7 @@ def radius_pairs(pairs: DataFrame, radius: int, pivots: int | None = None, home_
     # the work is names x pivots: an even share for every task
     tasks = max(spark.sparkContext.defaultParallelism, -(-n * wanted // PAIRS_PER_TASK))
     placed = pairs.select("a", "b").repartition(tasks, "a", "b").mapInArrow(cells, "a string, b string, cell int, home int")
+    placed = materialize(placed, "cells")  # read twice
     sizes = placed.groupBy("cell").agg(F.sum("home").alias("h")).collect()  # one row a pivot
     grid = spark.createDataFrame([(r["cell"], max(1, -(-r["h"] // home_rows))) for r in sizes] or [(0, 1)], "cell int, parts int")
     part = F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int")
