@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-QUERIES: dict[str, Callable] = {}
-SQL: dict[str, str] = {}
+from rolemill.plans import queries
+
+QUERIES: dict[str, Callable] = queries.QUERIES
+SQL: dict[str, str] = queries.SQL
 FLAGSHIP = "match_topn"
