@@ -111,7 +111,8 @@ def _blocks(doc: np.ndarray, h: np.ndarray, size: np.ndarray, threshold: float,
         ok = (count >= least - short[d]) | (k[d] < 8)
         value = _mix(value ^ _mix(bl * np.uint64(0x100000001B3) + (b[d] * SPREADS + turn).astype(np.uint64)))
         out_doc.append(d[ok])
-        out_key.append(value[ok])
+        # 48 bits: what they let meet by chance is sorted out with the sketches, and the upper bytes needn't be stored
+        out_key.append(value[ok] & np.uint64((1 << 48) - 1))
     if not out_doc:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
     d, v = np.concatenate(out_doc), np.concatenate(out_key)

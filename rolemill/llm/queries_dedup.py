@@ -64,4 +64,17 @@ def p3_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_consensus": p3_consensus}
-SQL: dict[str, str] = {}
+
+_PAIRS = f"""t AS (SELECT job_id, regexp_extract_all(lower(coalesce(company_name, '') || ' ' || coalesce(role_title, '') || ' ' || job_description), '[a-z0-9]+') AS w FROM jobs WHERE length(job_description) >= {LEAST_CHARS}),
+ s AS (SELECT DISTINCT job_id, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM t), n AS (SELECT job_id, count(*) AS c FROM s GROUP BY 1),
+ i AS (SELECT a.job_id AS job_a, b.job_id AS job_b, count(*) AS common FROM s a JOIN s b ON a.g = b.g AND a.job_id < b.job_id GROUP BY 1, 2),
+ pairs AS (SELECT job_a, job_b FROM i JOIN n x ON x.job_id = job_a JOIN n y ON y.job_id = job_b WHERE common >= {SIMILARITY} * (x.c + y.c - common))"""
+_TRUST = "coalesce((SELECT max(t.trust) FROM (SELECT unnest(j.sources) AS s) e JOIN source_trust t ON t.source = lower(trim(string_split(e.s, ':')[1]))), 0)"
+
+SQL = {
+    "p2_found": f"WITH {_PAIRS} SELECT job_a, job_b FROM pairs",
+    "p3_found": f"""WITH RECURSIVE {_PAIRS}, e AS (SELECT job_a AS u, job_b AS v FROM pairs UNION SELECT job_b, job_a FROM pairs),
+ reach AS (SELECT u, u AS v FROM e UNION SELECT r.u, e.v FROM reach r JOIN e ON r.v = e.u), g AS (SELECT u AS job_id, min(v) AS group_id FROM reach GROUP BY 1),
+ f AS (SELECT g.group_id, g.job_id, length(trim(regexp_replace(j.job_description, '[ \\t\\r\\n]+', ' ', 'g'))) AS chars, CASE WHEN j.last_seen_at <= TIMESTAMP '{SNAPSHOT}' THEN epoch_us(j.last_seen_at) ELSE -4000000000000000000 END AS seen, {_TRUST} AS trust FROM g JOIN jobs j ON j.job_id = g.job_id)
+ SELECT group_id, arg_min(job_id, (-chars, -seen, job_id)) AS description_job_id, arg_min(job_id, (-seen, job_id)) AS seen_job_id, arg_min(job_id, (-trust, -seen, job_id)) AS source_job_id FROM f GROUP BY group_id""",
+}

@@ -21,4 +21,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p5_found": p5_found, "p5_neighbours": p5_neighbours}
-SQL: dict[str, str] = {}
+
+_NEAR = f"""u AS (SELECT job_id, CAST(embedding AS DOUBLE[]) AS v FROM jobs WHERE len(embedding) = {DIM} AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+ n AS (SELECT job_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM u),
+ c AS (SELECT a.job_id AS a, b.job_id AS b, list_dot_product(a.v, b.v) AS similarity FROM n a JOIN n b ON a.job_id <> b.job_id),
+ k AS (SELECT a, b, similarity, row_number() OVER (PARTITION BY a ORDER BY similarity DESC, b) AS rank FROM c WHERE similarity >= {LEAST} QUALIFY rank <= {K})"""
+
+SQL = {"p5_found": f"WITH {_NEAR} SELECT DISTINCT least(a, b) AS job_a, greatest(a, b) AS job_b FROM k"}
