@@ -164,7 +164,9 @@ def first_of(values: Column, table: Mapping[str, str], other: str) -> Column:
 
 def years_per_skill(m: Column) -> Column:
     """Keys as tokens, years not below 0, entries without a number dropped; of equal keys the last counts."""
-    entries = F.filter(F.transform(F.map_entries(m), lambda e: F.struct(skill_token(e["key"]).alias("key"), F.greatest(e["value"].try_cast("double"), F.lit(0.0)).alias("value"))), lambda e: e["value"].isNotNull())
+    number = lambda v: F.when(v.try_cast("double").isNotNull(), F.greatest(v.try_cast("double"), F.lit(0.0)))
+    entries = F.transform(F.map_entries(m), lambda e: F.struct(skill_token(e["key"]).alias("key"), number(e["value"]).alias("value")))
+    entries = F.filter(entries, lambda e: e["value"].isNotNull())
     last = F.aggregate(entries, F.create_map().cast("map<string,double>"), lambda acc, e: F.map_concat(F.map_filter(acc, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])))
     return last
 
