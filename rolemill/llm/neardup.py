@@ -10,9 +10,9 @@ the bound allows rules a pair out for certain. What is left is verified on the w
 
 A guarantee for every pair would need more blocks than the bound has elements (about 120 keys a record at t = 0.6, most
 of them with one or two shingles that half the corpus shares). Blocks of ``block_load`` expected elements of A and B
-together with at least ``block_least`` present, spread twice, miss hardly any pair: at t = 0.6 and the settings used here
-a pair just at the threshold has about 11 expected agreeing blocks (a chance of about 1 in 50,000 to be lost), one at 0.7
-about 36. Measured: README.
+together with at least ``block_least`` present, spread twice (with one more present the second time), miss hardly any
+pair: at t = 0.6 and the settings used here a pair just at the threshold has about 8 expected agreeing blocks (a chance of
+about 1 in 3,000 to be lost), one at 0.7 about 28. Measured: README.
 
 Skew: records with equal shingle sets are one class and join once; only their first copy in a partition emits blocks.
 Runs of one block value are streamed in sorted order and never held as a whole list of pairs.
@@ -108,7 +108,7 @@ def _blocks(doc: np.ndarray, h: np.ndarray, size: np.ndarray, threshold: float,
         value = np.bitwise_xor.reduceat(_mix(hh), at)
         count = np.diff(np.append(at, len(hh)))
         d, bl = d[at], bl[at].astype(np.uint64)
-        ok = (count >= least - short[d]) | (k[d] < 8)
+        ok = (count >= least + turn - short[d]) | (k[d] < 8)
         value = _mix(value ^ _mix(bl * np.uint64(0x100000001B3) + (b[d] * SPREADS + turn).astype(np.uint64)))
         out_doc.append(d[ok])
         # 48 bits: what they let meet by chance is sorted out with the sketches, and the upper bytes needn't be stored
@@ -251,11 +251,13 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float =
     classes = sketched.groupBy("same").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     keys = sketched.select(F.explode("blocks").alias("block"), "same").repartition("block").sortWithinPartitions("block", "same")
     pairs = keys.mapInArrow(_pairs_of_runs, "a bigint, b bigint").distinct()
-    side = lambda s: classes.select(F.col("same").alias(s), F.col("rep").alias(f"rep_{s}"), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+    side = lambda s: classes.select(F.col("same").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
+    named = lambda s: classes.select(F.col("same").alias(s), F.col("rep").alias(f"rep_{s}"))
     bound = (1 - threshold) / (1 + threshold) * (F.col("n_a") + F.col("n_b"))
     apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
     sized = (F.col("n_a") >= threshold * F.col("n_b")) & (F.col("n_b") >= threshold * F.col("n_a"))
-    left = pairs.join(side("a"), "a").join(side("b"), "b").where(sized & (apart <= bound + 1e-9))
+    left = pairs.join(side("a"), "a").join(side("b"), "b").where(sized & (apart <= bound + 1e-9)).select("a", "b")
+    left = left.join(named("a"), "a").join(named("b"), "b")
     candidates = materialize(left.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")), "candidates")
     needed = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     n_needed = needed.count()
