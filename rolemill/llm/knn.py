@@ -67,6 +67,16 @@ def fit_cells(x: np.ndarray, cells: int, rounds: int = 6, seed: int = 7) -> np.n
     return centers
 
 
+def merge_cells(centers: np.ndarray, least: float) -> np.ndarray:
+    """Without centers that are as close to another as neighbours are: a dense place is one cell, which is then cut into
+    parts that its queries all visit, rather than many cells of which they would visit a few."""
+    kept: list[int] = []
+    for k in range(len(centers)):
+        if not kept or float(np.max(centers[kept] @ centers[k])) < least:
+            kept.append(k)
+    return centers[kept]
+
+
 def anisotropic_weight(threshold: float, dim: int) -> float:
     """How much more a unit of parallel residual costs than one of orthogonal residual."""
     t2 = min(threshold, 0.999) ** 2
@@ -189,7 +199,7 @@ def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: f
         return spark.createDataFrame([], "a string, b string, rank int, similarity double")
     fit = fit[np.argsort(fit[:, 0], kind="stable")][:sample]
     cells = int(max(1, min(2048, round(n**0.5), len(fit) // 8)))
-    centers = fit_cells(fit, cells)
+    centers = merge_cells(fit_cells(fit, cells), least)
     eta = anisotropic_weight(least, dim)
     books = fit_books(fit[:8192], eta)
     # model: at most 2048 x dim + 512 x dim numbers

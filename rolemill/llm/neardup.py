@@ -10,7 +10,7 @@ the bound allows rules a pair out for certain. What is left is verified on the w
 
 A guarantee for every pair would need more blocks than the bound has elements (about 120 keys a record at t = 0.6, most
 of them with one or two shingles that half the corpus shares). Blocks of ``block_load`` expected elements of A and B
-together with at least ``block_least`` present, spread twice (with one more present the second time), miss hardly any
+together with at least ``block_least`` present, spread twice, miss hardly any
 pair: at t = 0.6 and the settings used here a pair just at the threshold has about 8 expected agreeing blocks (a chance of
 about 1 in 3,000 to be lost), one at 0.7 about 28. Measured: README.
 
@@ -39,6 +39,8 @@ BROADCAST_IDS = 400_000
 SPREADS = 2
 #: Pairs with fewer shingles together get smaller blocks, as they have few of them.
 SHORT_RECORDS = 350
+#: Pairs with more have blocks to spare: the second spread asks for one shingle more in a block.
+LONG_RECORDS = 500
 _DOC_BITS = 14
 _HASH_BITS = 64 - _DOC_BITS
 
@@ -97,7 +99,7 @@ def _blocks(doc: np.ndarray, h: np.ndarray, size: np.ndarray, threshold: float,
     for up, turn in ((u, t) for u in (0, 1) for t in range(SPREADS)):
         b, spread = band + up, _mix(h + np.uint64(0x51 + turn))
         both = 2 * ratio ** (b + 0.5)
-        short = both < SHORT_RECORDS
+        short, long = both < SHORT_RECORDS, both >= LONG_RECORDS
         k = np.maximum(1, np.round(both / np.where(short, load * 0.75, load))).astype(np.int64)
         block = (spread % k[doc].astype(np.uint64)).astype(np.int64)
         order = np.argsort((doc << 40) | block, kind="stable")
@@ -108,7 +110,7 @@ def _blocks(doc: np.ndarray, h: np.ndarray, size: np.ndarray, threshold: float,
         value = np.bitwise_xor.reduceat(_mix(hh), at)
         count = np.diff(np.append(at, len(hh)))
         d, bl = d[at], bl[at].astype(np.uint64)
-        ok = (count >= least + turn - short[d]) | (k[d] < 8)
+        ok = (count >= least - short[d] + turn * long[d]) | (k[d] < 8)
         value = _mix(value ^ _mix(bl * np.uint64(0x100000001B3) + (b[d] * SPREADS + turn).astype(np.uint64)))
         out_doc.append(d[ok])
         # 48 bits: what they let meet by chance is sorted out with the sketches, and the upper bytes needn't be stored
