@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from rolemill.session import materialize
 
-SKETCH_BITS = 1024
+SKETCH_BITS = 512
 BROADCAST_IDS = 400_000
 #: How many times, by another hash, shingles are spread into blocks.
 SPREADS = 2
