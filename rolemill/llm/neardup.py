@@ -263,9 +263,10 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float =
     candidates = materialize(left.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")), "candidates")
     needed = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     n_needed = needed.count()
-    texts = source.join(F.broadcast(needed) if n_needed <= BROADCAST_IDS else needed, "id", "left_semi").dropDuplicates(["id"])
+    texts = source.join(F.broadcast(needed) if n_needed <= BROADCAST_IDS else needed, "id", "left_semi")
     full = candidates.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     links = full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width), "a string, b string, similarity double").where(F.col("similarity") >= threshold)
+    links = links.dropDuplicates(["a", "b"])  # an id may stand in several rows
     members = sketched.select("id", "same").join(classes.select("same", F.col("rep").alias("class")), "same").select("id", "class")
     return members, links
 

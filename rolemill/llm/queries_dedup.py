@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemill.llm.neardup import expand_pairs, near_duplicates, record_text
+from rolemill.llm.neardup import BROADCAST_IDS, expand_pairs, near_duplicates, record_text
 from rolemill.llm.survivor import consensus, select_survivors
 from rolemill.operators.components import connected_components
 from rolemill.session import load, materialize
@@ -18,7 +18,7 @@ SNAPSHOT = "2026-06-30 00:00:00"
 def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     jobs = load(spark, sf_dir, "jobs").where(F.length("job_description") >= LEAST_CHARS)
     members, links = near_duplicates(jobs, "job_id", record_text(*FIELDS), SIMILARITY, WIDTH)
-    return members, materialize(links, "links")
+    return materialize(members, "members"), materialize(links, "links")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,8 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     chars = F.length(F.trim(F.regexp_replace("job_description", "[ \\t\\r\\n]+", " ")))
     seen = F.col("last_seen_at").cast("timestamp_ntz")
     known = F.when(seen <= F.lit(SNAPSHOT).cast("timestamp_ntz"), F.unix_micros(seen.cast("timestamp")))
-    facts = groups.join(jobs.select("job_id", chars.alias("chars"), known.alias("seen"), "sources"), "job_id")
+    small = groups.count() <= BROADCAST_IDS
+    facts = jobs.select("job_id", chars.alias("chars"), known.alias("seen"), "sources").join(F.broadcast(groups) if small else groups, "job_id")
     feed = F.lower(F.regexp_replace(F.substring_index("feed", ":", 1), "^\\s+|\\s+$", ""))
     # source_trust is fixed at ten rows
     trusted = facts.select("job_id", F.explode("sources").alias("feed")).select("job_id", feed.alias("source")).join(F.broadcast(trust), "source").groupBy("job_id").agg(F.max("trust").alias("trust"))
