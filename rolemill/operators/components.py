@@ -28,8 +28,13 @@ def connected_components(edges: DataFrame, a: str, b: str, node: str = "node", c
     shared folder. Loops and repeated links are ignored, links with a null end dropped. A node with very many links
     is one row of an aggregate with map-side combine, and its join is split by the adaptive skew handling.
     """
-    e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
-    state, current = None, materialize(e, "components")
+    e = materialize(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "components")
+    # numbers in the order of the nodes stand for them, so that long keys aren't shuffled in every round
+    names = e.select(F.explode(F.array("u", "v")).alias("name")).distinct().repartitionByRange("name").sortWithinPartitions("name")
+    names = materialize(names.withColumn("id", F.monotonically_increasing_id()), "components")
+    number = lambda end: names.select(F.col("name").alias(end), F.col("id").alias(f"{end}_id"))
+    numbered = e.join(number("u"), "u").join(number("v"), "v").select(F.col("u_id").alias("u"), F.col("v_id").alias("v"))
+    state, current = None, materialize(numbered, "components")
     for _ in range(max_rounds):
         after = materialize(_small_star(_large_star(current)), "components")
         release(current)
@@ -40,4 +45,6 @@ def connected_components(edges: DataFrame, a: str, b: str, node: str = "node", c
         state = tuple(seen)
     else:
         raise RuntimeError("components didn't settle")
-    return current.select(F.col("u").alias(node), F.col("v").alias(component)).union(current.select(F.col("v"), F.col("v")).distinct())
+    stars = current.union(current.select(F.col("v"), F.col("v")).distinct())
+    back = lambda end, to: names.select(F.col("id").alias(end), F.col("name").alias(to))
+    return stars.join(back("u", node), "u").join(back("v", component), "v").select(node, component)

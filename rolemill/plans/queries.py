@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from rolemill.functions import normalize as N
 from rolemill.functions import tables as T
 from rolemill.functions import text as X
-from rolemill.operators import dedup, gates, match, merge, predicates, stats, sync
+from rolemill.operators import dedup, enrich, gates, match, merge, predicates, stats, sync
 from rolemill.operators import feedback as fold
 from rolemill.session import load
 from rolemill.sources import parsers
@@ -652,3 +652,24 @@ def events_hourly(spark, d):
 def event_sessions(spark, d):
     e = load(spark, d, "events")
     return e.groupBy(F.session_window("ts", "30 minutes"), "user_id").agg(F.count("*").alias("n")).select("user_id", F.col("session_window.start").alias("start"), "n")
+
+
+# ---- seams
+
+
+@query(r"""SELECT j.job_id, CASE WHEN coalesce(j.primary_url, '') = '' THEN 'skip_no_url' WHEN j.status = 'duplicate' THEN 'closed_at_source' WHEN length(regexp_replace(j.job_description, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) >= 200 THEN 'success' ELSE 'failed' END AS outcome FROM jobs j""")
+def fetch_outcomes(spark, d):
+    j = jobs_of(spark, d)
+    bodies = j.select("job_id", F.lit(None).cast("string").alias("api_text"), F.col("job_description").alias("page_text"), (F.col("status") == "duplicate").alias("closed"))
+    return enrich.fetch_outcomes(j, bodies).select("job_id", "outcome")
+
+
+@query()
+def hashed_vectors(spark, d):
+    """Vectors of all descriptions by the stand-in model."""
+    return enrich.embed(jobs_of(spark, d), "job_id", "job_description").select("job_id", F.size("embedding").alias("dims"), "error")
+
+
+@query("SELECT job_id, CASE WHEN coalesce(primary_url, '') <> '' THEN primary_url WHEN coalesce(location_raw, '') <> '' THEN location_raw END AS target FROM jobs")
+def fetch_targets(spark, d):
+    return jobs_of(spark, d).select("job_id", enrich.best_target(F.col("primary_url"), F.when(F.coalesce("primary_url", F.lit("")) == "", F.col("location_raw"))).alias("target"))
