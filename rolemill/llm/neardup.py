@@ -211,15 +211,27 @@ def _pairs_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield from emit(hold_k, hold_s)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes for the way to their partners."""
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        yield pa.record_batch([b.column(0), pa.array([pack((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())], names=["id", "packed"])
+
+
 def _verify(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
         words = re.compile("[a-z0-9]+", re.A).findall
         last: tuple = (None, frozenset())
 
-        def shingles(t: str) -> frozenset:
-            w = words(t.lower())
+        def shingles(packed: bytes) -> frozenset:
+            w = words(unpack(packed).decode().lower())
             return frozenset(zip(*(w[k:] for k in range(width))))
 
         for batch in batches:
@@ -264,7 +276,8 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float =
     needed = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     n_needed = needed.count()
     texts = source.join(F.broadcast(needed) if n_needed <= BROADCAST_IDS else needed, "id", "left_semi")
-    full = candidates.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    texts = texts.mapInArrow(_packed, "id string, packed binary")
+    full = candidates.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("packed").alias("text_b")), "b")
     links = full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width), "a string, b string, similarity double").where(F.col("similarity") >= threshold)
     links = links.dropDuplicates(["a", "b"])  # an id may stand in several rows
     members = sketched.select("id", "same").join(classes.select("same", F.col("rep").alias("class")), "same").select("id", "class")
