@@ -101,11 +101,19 @@ def title_industry(c: Column) -> Column:
 
 def text_skills(c: Column, most: int = 10) -> Column:
     """Skills named in a text, in the order of the list. A word that ends in a sign, like c++, needs no word border after it."""
-    low, each = F.lower(c), []
-    for rule in T.TEXT_SKILLS:
-        name, pattern = rule if isinstance(rule, tuple) else (rule, r"\b" + re.escape(rule).replace(r"\ ", r"\s+") + (r"\b" if rule[-1].isalnum() else r"(?![+#\w])"))
-        each.append(F.when(low.rlike(pattern), F.lit(name)))
-    return F.slice(F.filter(F.array(*each), lambda s: s.isNotNull()), 1, most)
+    def named(low: Column) -> Column:
+        each = []
+        for rule in T.TEXT_SKILLS:
+            if isinstance(rule, tuple):
+                each.append(F.when(low.rlike(rule[1]), F.lit(rule[0])))
+                continue
+            # looking for the plain word first spares most expressions
+            pattern = r"\b" + re.escape(rule).replace(r"\ ", r"\s+") + (r"\b" if rule[-1].isalnum() else r"(?![+#\w])")
+            each.append(F.when(F.contains(low, F.lit(rule.split()[0])) & low.rlike(pattern), F.lit(rule)))
+        return F.slice(F.filter(F.array(*each), lambda s: s.isNotNull()), 1, most)
+
+    # inside a lambda the lower-cased text is made once, not once a rule
+    return F.get(F.transform(F.array(F.lower(c)), named), F.lit(0))
 
 
 def parse_moment(c: Column) -> Column:
