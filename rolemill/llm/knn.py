@@ -177,7 +177,7 @@ def _scan(members: dict, queries: dict, k: int, least: float, slack: float, book
     return out
 
 
-def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: float, probes: int = 3, sample: int = SAMPLE, cell_rows: int = CELL_ROWS, slack: float = 0.06) -> DataFrame:
+def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: float, probes: int = 3, sample: int = SAMPLE, cell_rows: int = CELL_ROWS, slack: float = 0.12) -> DataFrame:
     """(a, b, rank, similarity): for every usable row a its k most similar rows b, as far as similarity >= least.
 
     similarity is the cosine of the vectors as stored, in double precision up to float rounding of the scaled vectors.
