@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "rolemill", master: str | None = None, **conf: object) -> SparkSession:
@@ -67,5 +68,23 @@ def release(df: DataFrame) -> None:
         p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, unless they find it by PYTHONPATH or the working folder."""
+    import zipfile
+    from pathlib import Path
+
+    package = Path(__file__).resolve().parent
+    known = [p for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p] + [os.getcwd()]
+    app = spark.sparkContext.applicationId
+    if app in _shipped or any(Path(p).resolve() == package.parent for p in known):
+        return
+    _shipped.add(app)
+    target = Path(tempfile.mkdtemp(prefix="rolemill-code-")) / "rolemill.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
 def env_cpus(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))
