@@ -131,6 +131,17 @@ def test_stuffed_pages(spark):
     assert stuffing.stuffed_pages(df.limit(0)).count() == 0
 
 
+def test_list_pages_that_are_the_rule_in_their_group(spark):
+    copies = [(k, "jobs careers salary hiring vacancies urgent apply " * 20, "en") for k in range(60)]
+    tags = [(100 + k, " ".join(f"#tag{k}x{i}" for i in range(40)), "fr") for k in range(60)]
+    prose = [(200 + k, PROSE * 4 + f"Number {k} helps.", "en") for k in range(40)]
+    df = spark.createDataFrame(copies + tags + prose, "doc_id long, text string, lang string")
+    found = stuffing.stuffed_pages(df).collect()
+    assert {r.doc_id for r in found} == {*range(60), *range(100, 160)} and all(r.extreme for r in found)
+    only = stuffing.stuffed_pages(df.where("doc_id < 200")).collect()
+    assert len(only) == 120 and {r.extreme for r in only} == {None}
+
+
 def test_curve_of_a_known_page(spark):
     import numpy as np
 
