@@ -59,9 +59,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The title of each group that is closest to the token-level consensus of its listings."""
+    """The title, the whole description and the entry of sources of each group that are closest to the token-level
+    consensus of its listings. A listing votes once for each of its feeds; a group without any feed has a null source."""
     groups = materialize(_groups(spark, sf_dir), "groups")
-    return consensus(groups.join(load(spark, sf_dir, "jobs").select("job_id", "role_title"), "job_id"), "group_id", "role_title")
+    jobs = load(spark, sf_dir, "jobs").select("job_id", "role_title", "job_description", "sources")
+    rows = jobs.join(F.broadcast(groups) if groups.count() <= BROADCAST_IDS else groups, "job_id")
+    feed = lambda x: F.lower(F.regexp_replace(F.substring_index(x, ":", 1), "^\\s+|\\s+$", ""))
+    entries = rows.select("group_id", F.explode_outer(F.array_distinct(F.transform("sources", feed))).alias("source"))
+    titles = consensus(rows, "group_id", "role_title")
+    texts = consensus(rows, "group_id", "job_description").withColumnRenamed("support", "description_support")
+    feeds = consensus(entries, "group_id", "source").withColumnRenamed("support", "source_support")
+    return titles.join(texts, "group_id").join(feeds, "group_id")
 
 
 QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_consensus": p3_consensus}

@@ -109,3 +109,33 @@ def test_alignment_votes_by_column():
     p = [survivor._profile_of(v, w) for v, w in (("a b c d", 2.0), ("a c d", 1.0), ("a b x d", 1.0))]
     assert survivor.vote(survivor.merge_profiles(p)) == ["a", "b", "c", "d"]
     assert survivor.token_distance("a b c".split(), "a c".split()) == 1
+
+
+def test_long_values_align_as_in_the_whole_table(monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(150)}" for _ in range(400)]
+    values = []
+    for k in range(5):
+        v = list(base)
+        for i in rng.sample(range(1, 390), 25):
+            v[i : i + rng.randint(0, 2)] = [f"x{k}y{i}"] * rng.randint(0, 2)
+        values.append(v[60 * k :] if k == 4 else v)
+    profiles = [survivor._profile_of(" ".join(v), 1.0) for v in values]
+    results = []
+    for band in (1, 32, 10_000):
+        monkeypatch.setattr(survivor, "BAND", band)
+        results.append(survivor.merge_profiles(profiles))
+    assert results[0] == results[1] == results[2]
+    voted = survivor.vote(results[0])
+    assert survivor.token_distance(voted, base) < min(survivor.token_distance(v, base) for v in values)
+
+
+def test_consensus_runs_over_descriptions_and_sources(spark, data):
+    groups = {r.group_id: r for r in QUERIES["p3_consensus"](spark, data).collect()}
+    assert groups.keys() == {r.group_id for r in QUERIES["p3_found"](spark, data).collect()}
+    jobs = {r.job_id: r for r in spark.read.parquet(f"{data}/jobs.parquet").select("job_id", "job_description", "sources").collect()}
+    texts = {r.job_description for r in jobs.values()}
+    feeds = {s.split(":")[0].strip().lower() for r in jobs.values() for s in r.sources or [] if s}
+    for r in groups.values():
+        assert r.job_description in texts and r.description_support >= 1
+        assert r.source in feeds if r.source_support else r.source is None
