@@ -12,8 +12,8 @@ A query visits its ``probes`` nearest cells. A cell with more than ``cell_rows``
 are close together, is cut into parts that are scanned by separate tasks; its queries visit all of them, so nothing is
 dropped. A query has at most k rows from each part it visited, and the last step keeps the k best.
 
-The quantiser is fitted on at most ``sample`` vectors, a documented bound; the recall is measured against brute force
-(README). Ties in similarity go to the smaller key. Unusable vectors (null, of another size, not finite, all zero) are
+The cells are fitted on at most ``sample`` vectors and the codebooks on at most 8,192 of them, both drawn by a hash of
+the id: documented bounds; the recall is measured against brute force (README). Ties in similarity go to the smaller key. Unusable vectors (null, of another size, not finite, all zero) are
 neither queries nor answers. Equal vectors are each other's neighbours. Keys are taken as unique; other columns are
 ignored.
 """
@@ -31,6 +31,7 @@ from pyspark.sql.window import Window
 from rolemill.session import materialize
 
 SAMPLE = 20_000
+BOOK_SAMPLE = 8_192
 CELL_ROWS = 6_000
 SUB, WORDS = 2, 16
 
@@ -193,15 +194,15 @@ def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: f
 
     units = materialize(source.mapInArrow(scale, "id string, x binary"), "units")
     n = units.count()
-    some = units.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // sample))) == 0).limit(2 * sample).select("x").toArrow()
+    # the filter leaves fewer than 2 * sample rows; what is cut then, here and for the books, is cut by another hash of the id
+    some = units.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // sample))) == 0).orderBy(F.xxhash64("id", F.lit(2)), "id").limit(sample).select("x").toArrow()
     fit = np.frombuffer(b"".join(some.column("x").to_pylist()), np.float32).reshape(-1, dim).copy()
     if not len(fit):
         return spark.createDataFrame([], "a string, b string, rank int, similarity double")
-    fit = fit[np.argsort(fit[:, 0], kind="stable")][:sample]
     cells = int(max(1, min(2048, round(n**0.5), len(fit) // 8)))
     centers = merge_cells(fit_cells(fit, cells), least)
     eta = anisotropic_weight(least, dim)
-    books = fit_books(fit[:8192], eta)
+    books = fit_books(fit[:BOOK_SAMPLE], eta)
     # model: at most 2048 x dim + 512 x dim numbers
     model = spark.sparkContext.broadcast((centers, books))
 

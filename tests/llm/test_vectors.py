@@ -37,6 +37,20 @@ def test_recall_against_brute_force(spark, cell_rows):
     assert len(got & want) >= 0.97 * len(want) and len(got & want) >= 0.97 * len(got)
 
 
+def test_the_sample_covers_the_whole_table(spark, monkeypatch):
+    ids, x = clustered(1500, 3)
+    u, seen = knn._unit(x), {}
+    for name in ("fit_cells", "fit_books"):
+        fit = getattr(knn, name)
+        monkeypatch.setattr(knn, name, lambda rows, *more, name=name, fit=fit: (seen.__setitem__(name, rows), fit(rows, *more))[1])
+    monkeypatch.setattr(knn, "BOOK_SAMPLE", 300, raising=False)
+    knn.nearest(table(spark, ids, x), "key", "emb", 64, 5, 0.9, sample=800)
+    middle = np.median(u[:, 0])
+    assert len(seen["fit_cells"]) == 800 and len(seen["fit_books"]) == 300
+    for rows in seen.values():
+        assert 0.4 < (rows[:, 0] < middle).mean() < 0.6
+
+
 def test_a_third_in_one_place(spark):
     rng = np.random.default_rng(4)
     ids, x = clustered(600, 2)
