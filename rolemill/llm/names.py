@@ -5,7 +5,8 @@ business and place are set apart); the distance of two names is the true Damerau
 under the better of both orders, which is a metric on unordered pairs. Pivots are drawn from the names; every name
 belongs to the cell of its nearest pivot and is copied to the cells whose border it is close enough to for the triangle
 inequality to leave a partner possible: d(x, p) <= d(x, nearest) + 2 r. Exact radius joins run within the cells, so no
-pair within the radius is missed, and no cell holds more than a bounded share of the names.
+pair within the radius is missed, and no cell holds more than a bounded share of the names. All distinctive words count;
+pairs with more than 64 letters have cells by length in place of pivots.
 
 Beyond typing errors, a name can stand for a company in ways that no radius covers; these are links by equality:
 
@@ -48,6 +49,8 @@ FILLER = frozenset("the of and at for in a an careers career jobs job team hirin
 NOBODY = frozenset("confidential undisclosed disclosed stealth startup unknown none anonymous private employer client unnamed various tbd not specified multiple recruiter withheld blank null".split())
 ALIAS = re.compile(r"\s*[-–—,(]?\s*\b(?:d/b/a|dba|doing business as|also known as|a/k/a|aka|trading as|t/a|formerly known as|formerly|previously)\b\s*", re.I)
 MAX_WORDS = 2
+#: Pairs of words with more letters meet by their length, as distances to pivots would be slow.
+LONG_NAME, LENGTHS = 64, 8
 PAIRS_PER_TASK = 200_000
 
 
@@ -147,7 +150,7 @@ def parse(name: str | None) -> tuple[list[tuple[tuple[str, ...], frozenset[str]]
     out = []
     for core, line in found:
         if core:
-            words = tuple(dict.fromkeys(core))[:4]
+            words = tuple(dict.fromkeys(core))
             if not any(words == w for w, _ in out):
                 out.append((words, frozenset(w[:3] for w in (line - {"group"} or line))))
     return out, bool(out)
@@ -253,7 +256,8 @@ def radius_pairs(pairs: DataFrame, radius: int, pivots: int | None = None, home_
     """
     spark, n = pairs.sparkSession, pairs.count()
     wanted = pivots or int(min(4096, max(4, 4 * n**0.5)))
-    chosen = pairs.orderBy(F.xxhash64("a", "b"), "a", "b").limit(wanted).collect()
+    size = F.length("a") + F.length("b")
+    chosen = pairs.where(size <= LONG_NAME).orderBy(F.xxhash64("a", "b"), "a", "b").limit(wanted).collect()
     model = spark.sparkContext.broadcast([(r["a"], r["b"]) for r in chosen])
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +282,12 @@ def radius_pairs(pairs: DataFrame, radius: int, pivots: int | None = None, home_
 
     # the work is names x pivots: an even share for every task
     tasks = max(spark.sparkContext.defaultParallelism, -(-n * wanted // PAIRS_PER_TASK))
-    placed = pairs.select("a", "b").repartition(tasks, "a", "b").mapInArrow(cells, "a string, b string, cell int, home int")
+    placed = pairs.where(size <= LONG_NAME).select("a", "b").repartition(tasks, "a", "b").mapInArrow(cells, "a string, b string, cell int, home int")
+    # lengths differ by the radius at most: a long pair visits the cells of all lengths that its partners can have
+    at = lambda c: (-1 - F.floor(c / LENGTHS)).cast("int")
+    spots = F.array_distinct(F.transform(F.sequence(size - radius, size + radius), at))
+    long = pairs.where(size > LONG_NAME - radius).select("a", "b", F.explode(spots).alias("cell"))
+    placed = placed.union(long.withColumn("home", ((F.col("cell") == at(size)) & (size > LONG_NAME)).cast("int")))
     placed = materialize(placed, "cells")  # read twice
     sizes = placed.groupBy("cell").agg(F.sum("home").alias("h")).collect()  # one row a pivot
     grid = spark.createDataFrame([(r["cell"], max(1, -(-r["h"] // home_rows))) for r in sizes] or [(0, 1)], "cell int, parts int")
@@ -322,7 +331,7 @@ def link_names(df: DataFrame, name_col: str, radius: int = 2, short: int = 4) ->
     full = turned(cores).where((F.length("t") > short) & (F.length("w") > short)).select(F.col("t").alias("t2"), "w", F.col("a").alias("c"), F.col("b").alias("d"), F.col("line").alias("line_2"))
     syllable = cut.join(full, "w").where(F.startswith("t2", "t") & same_line).select(key("a", "b").alias("x"), key("c", "d").alias("y"))
     main = F.element_at("cores", 1)
-    both = parsed.where(F.size("cores") > 1).select(key(main["a"], main["b"]).alias("x"), F.explode(F.slice("cores", 2, 8)).alias("o")).select("x", key("o.a", "o.b").alias("y"))
+    both = parsed.where(F.size("cores") > 1).select(key(main["a"], main["b"]).alias("x"), F.explode(F.slice("cores", 2, F.size("cores"))).alias("o")).select("x", key("o.a", "o.b").alias("y"))
     joined = connected_components(spelled.union(syllable).union(both), "x", "y", "core", "company")
     own = parsed.select("name", key(main["a"], main["b"]).alias("core"))
     return own.join(joined, "core", "left").select("name", F.coalesce("company", "core").alias("company"))

@@ -69,6 +69,16 @@ def test_variants_of_companies(spark):
     assert found == {tuple(sorted((a, b))) for a in CASES for b in CASES if a != b and CASES[a] == CASES[b]}
 
 
+def test_all_words_and_all_other_names_count(spark):
+    first, many = "Quorvane Beltrix Monfrel Saldyne", "Ozwick Tarmel" + "".join(f" (Yulno{c} Prandek{c})" for c in "abcdefghijkl")
+    tail = " ".join(f"{w}xoq{w}{w}" for w in "bdfghjklmnprst")
+    rows = [f"{first} Tirobal", f"{first} Zukdemar", f"{first} Tirobel", many, "Yulnol Prandekl", f"{first} {tail} Wexfarn", f"{first} {tail} Wexfern", f"{first} {tail} Hodrimul"]
+    linked = {r.name: r.company for r in names.link_names(spark.createDataFrame([(n,) for n in rows], "company_name string"), "company_name").collect()}
+    one, other, typo, alias, last, long, slip, apart = (linked[n] for n in rows)
+    assert one == typo != other and alias == last and long == slip != apart
+    assert len({one, other, alias, long, apart}) == 5
+
+
 def test_names_of_nothing_and_long_names(spark):
     empty = spark.createDataFrame([], "company_name string")
     assert names.link_names(empty, "company_name").count() == 0
