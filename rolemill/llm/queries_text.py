@@ -37,7 +37,7 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stuffed_pages(load(spark, sf_dir, "documents")).select("doc_id")
+    return stuffed_pages(load(spark, sf_dir, "documents"), least_words=1).select("doc_id")
 
 
 def p8_curves(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,6 +142,12 @@ def test_list_pages_that_are_the_rule_in_their_group(spark):
     assert len(only) == 120 and {r.extreme for r in only} == {None}
 
 
+def test_short_list_pages_are_found(spark, tmp_path):
+    rows = [(1, " ".join(f"#tag{k}" for k in range(15)), "en"), (2, "Home | Jobs | Help", "en"), (3, PROSE, "en"), (4, " ", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id for r in QUERIES["p8_found"](spark, str(tmp_path)).collect()} == {1, 2}
+
+
 def test_curve_of_a_known_page(spark):
     import numpy as np
 
