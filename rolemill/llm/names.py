@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolemill.operators.components import connected_components
+from rolemill.llm.components import connected_components
 from rolemill.session import materialize
 
 # Words of company names that don't tell companies apart.

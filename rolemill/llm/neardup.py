@@ -3,19 +3,27 @@
 Method: parity-sketch join. Every shingle of a record is hashed. The record's size band says into how many blocks the
 hashes are spread, and each block keeps the XOR of its hashes: two records agree in a block just when no shingle of
 their symmetric difference fell into it. A similarity of at least t bounds the symmetric difference by
-(1-t)/(1+t) * (|A|+|B|), so by pigeonhole a pair that reaches t agrees in several blocks. Blocks are joined by value
-per size band (a record joins its own band and the next larger one, so pairs that straddle a border meet). Candidates
-then pass a parity bit sketch, whose Hamming distance never exceeds the symmetric difference: a larger distance than
-the bound allows rules a pair out for certain. What is left is verified on the words themselves.
-
-A guarantee for every pair would need more blocks than the bound has elements (about 120 keys a record at t = 0.6, most
-of them with one or two shingles that half the corpus shares). Blocks of ``block_load`` expected elements of A and B
-together with at least ``block_least`` present, spread twice, miss hardly any
-pair: at t = 0.6 and the settings used here a pair just at the threshold has about 8 expected agreeing blocks (a chance of
-about 1 in 3,000 to be lost), one at 0.7 about 28. Measured: README.
+(1-t)/(1+t) * (|A|+|B|), so by pigeonhole a pair that reaches t agrees in many blocks. Blocks are joined by value per
+size band; a record stands in its own band and the next larger one, so any two records that can reach t share a band.
+Pairs that agree in two blocks or more are candidates. They pass a parity bit sketch, of a length that fits the record,
+whose Hamming distance never exceeds the symmetric difference: a larger distance than the bound allows rules a pair out
+for certain. What is left is verified on the words themselves.
+
+A block counts only with enough shingles in it, as a block of one or two common shingles meets half the corpus. How many
+is derived, band by band, from the number of agreeing blocks that a pair just at the threshold can be expected to have
+(``_least``): at least 7 where the pair shares one band of every spread, twice that where it shares both. Shingles are
+spread ``SPREADS`` times by other hashes, and each time the borders of the bands are shifted, so that no pair straddles a
+border every time unless its sizes are as different as the threshold allows. In bands too small for that, every shingle
+is a block of its own and one agreement is enough, which misses nothing. ``exact=True`` does that for all records: any
+two records with a common shingle are candidates. It is meant for small tables and as the yardstick of the tests.
+Measured: README.
 
 Skew: records with equal shingle sets are one class and join once; only their first copy in a partition emits blocks.
-Runs of one block value are streamed in sorted order and never held as a whole list of pairs.
+Blocks meet in a sort-merge join of Spark, which splits a hot block's partition by itself (adaptive skew handling) and
+spills; no task holds the pairs of a block.
+
+Texts travel to their partners compressed. Those that no candidate needs are sorted out before the shuffle by a bitmap of
+the needed ids' hashes, of at most ``BITMAP_BITS`` bits: a full bitmap lets more texts pass, the join that follows decides.
 
 Nulls count as empty texts; records with fewer words than a shingle have no set and are in no pair. Repeated rows are
 one another's copies. Other columns are ignored.
@@ -31,16 +39,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rolemill.session import materialize
+from rolemill.session import materialize, release
 
-SKETCH_BITS = 512
-BROADCAST_IDS = 400_000
 #: How many times, by another hash, shingles are spread into blocks.
-SPREADS = 2
-#: Pairs with fewer shingles together get smaller blocks, as they have few of them.
-SHORT_RECORDS = 350
-#: Pairs with more have blocks to spare: the second spread asks for one shingle more in a block.
-LONG_RECORDS = 500
+SPREADS = 3
+#: Agreeing blocks that a pair at the threshold can be expected to have if it shares one band of every spread.
+EXPECTED = 7.0
+#: A candidate agrees in so many blocks (in one, where every shingle is a block).
+AGREEMENTS = 2
+#: 8 MB; and how many bits an id sets.
+BITMAP_BITS, BITMAP_HASHES = 1 << 26, 3
+_BITMAP_PIECE = 1 << 16
 _DOC_BITS = 14
 _HASH_BITS = 64 - _DOC_BITS
 
@@ -91,48 +100,64 @@ def _groups(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
 
 
-def _blocks(doc: np.ndarray, h: np.ndarray, size: np.ndarray, threshold: float, load: float, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """(record, block value) over both bands of every record."""
-    ratio = 1 / threshold
-    band = np.floor(np.log(np.maximum(size, 1)) / math.log(ratio) + 1e-9).astype(np.int64)
-    out_doc, out_key = [], []
-    for up, turn in ((u, t) for u in (0, 1) for t in range(SPREADS)):
-        b, spread = band + up, _mix(h + np.uint64(0x51 + turn))
-        both = 2 * ratio ** (b + 0.5)
-        short, long = both < SHORT_RECORDS, both >= LONG_RECORDS
-        k = np.maximum(1, np.round(both / np.where(short, load * 0.75, load))).astype(np.int64)
-        block = (spread % k[doc].astype(np.uint64)).astype(np.int64)
-        order = np.argsort((doc << 40) | block, kind="stable")
-        d, bl, hh = doc[order], block[order], h[order]
-        at = _groups((d << 40) | bl)
-        if not len(at):
-            continue
-        value = np.bitwise_xor.reduceat(_mix(hh), at)
-        count = np.diff(np.append(at, len(hh)))
-        d, bl = d[at], bl[at].astype(np.uint64)
-        ok = (count >= least - short[d] + turn * long[d]) | (k[d] < 8)
-        value = _mix(value ^ _mix(bl * np.uint64(0x100000001B3) + (b[d] * SPREADS + turn).astype(np.uint64)))
-        out_doc.append(d[ok])
-        # 48 bits: what they let meet by chance is sorted out with the sketches, and the upper bytes needn't be stored
-        out_key.append(value[ok] & np.uint64((1 << 48) - 1))
-    if not out_doc:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    d, v = np.concatenate(out_doc), np.concatenate(out_key)
+def _least(both: np.ndarray, threshold: float, load: float) -> np.ndarray:
+    """How many shingles make a block count, for pairs with so many shingles together: the most (of 2 to 8) that leave
+    a pair at the threshold ``EXPECTED`` agreeing blocks. Shingles fall into blocks as a Poisson process."""
+    apart = (1 - threshold) / (1 + threshold)
+    common = load * (1 - apart) / 2
+    term, tail, least = math.exp(-common), 1.0, np.full(len(both), 2)
+    for m in range(9):
+        if m > 2:
+            least[both * (SPREADS / load * math.exp(-load * apart) * tail) >= EXPECTED] = m
+        tail, term = tail - term, term * common / (m + 1)
+    return least
+
+
+def _blocks(doc: np.ndarray, h: np.ndarray, size: np.ndarray, threshold: float, load: float, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(record, block value) over both bands of every record in every spread.
+
+    Blocks are ranges of the spread hash, so one sort serves both bands. A value has 48 bits: what they let meet by
+    chance is sorted out with the sketches. Its lowest bit marks blocks of single shingles.
+    """
+    ratio, out_doc, out_value = 1 / threshold, [], []
+    position = np.log(np.maximum(size, 1)) / math.log(ratio) + 1e-9
+    for turn in range(1 if exact else SPREADS):
+        shift = turn / SPREADS
+        key = np.sort((doc.astype(np.uint64) << np.uint64(_HASH_BITS)) | (_mix(h + np.uint64(0x51 + turn)) >> np.uint64(_DOC_BITS)))
+        d, s = (key >> np.uint64(_HASH_BITS)).astype(np.int64), key & np.uint64((1 << _HASH_BITS) - 1)
+        mixed, new_doc = _mix(s), np.concatenate([[True], d[1:] != d[:-1]])
+        for up in (0, 1):
+            band = np.floor(position + shift).astype(np.int64) + up
+            both = 2 * ratio ** (band + 0.5 - shift)
+            k, least = np.maximum(1, np.round(both / load)).astype(np.uint64), _least(both, threshold, load)
+            single = (least <= 2) & (turn == 0) | exact
+            block = np.where(single[d], s, ((s >> np.uint64(_HASH_BITS - 32)) * k[d]) >> np.uint64(32))
+            at = np.flatnonzero(new_doc | np.concatenate([[True], block[1:] != block[:-1]]))
+            value, count = np.bitwise_xor.reduceat(mixed, at), np.diff(np.append(at, len(s)))
+            owner = d[at]
+            value = _mix(value ^ _mix(block[at] * np.uint64(0x100000001B3) + (band[owner] * SPREADS + turn).astype(np.uint64)))
+            ok = single[owner] | (count >= least[owner])
+            out_doc.append(owner[ok])
+            out_value.append((value[ok] & np.uint64((1 << 48) - 2)) | single[owner[ok]].astype(np.uint64))
+    d, v = np.concatenate(out_doc), np.concatenate(out_value)
     order = np.argsort(d, kind="stable")
     return d[order], v[order]
 
 
-def _sketch(doc: np.ndarray, h: np.ndarray, records: int) -> np.ndarray:
-    """Parity bits: records x (SKETCH_BITS / 64) words."""
-    bit = (_mix(h + np.uint64(0xA7)) % np.uint64(SKETCH_BITS)).astype(np.int64)
-    odd = (np.bincount(doc * SKETCH_BITS + bit, minlength=records * SKETCH_BITS) & 1).astype(np.uint8)
-    return np.packbits(odd.reshape(records, SKETCH_BITS), axis=1).view(np.int64)
+def _sketches(doc: np.ndarray, h: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parity bits as 64-bit words of all records one after another, and how many words each has: bits are a power of two,
+    at least twice the record's shingles. XOR of the halves of a sketch is the sketch of half the length."""
+    bits = 1 << np.maximum(8, np.ceil(np.log2(np.maximum(2 * size, 1)))).astype(np.int64)
+    start = np.concatenate([[0], np.cumsum(bits)])
+    bit = (_mix(h + np.uint64(0xA7)) & (bits[doc] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(start[doc] + bit, minlength=start[-1]) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64), bits // 64
 
 
 _SKETCHED = pa.schema([("id", pa.string()), ("n", pa.int32()), ("same", pa.int64()), ("sketch", pa.list_(pa.int64())), ("blocks", pa.list_(pa.int64()))])
 
 
-def _sketch_batches(width: int, threshold: float, load: float, least: int):
+def _sketch_batches(width: int, threshold: float, load: float, exact: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, emitted = _WordHash(), set()
         for whole in batches:
@@ -147,7 +172,7 @@ def _sketch_batches(width: int, threshold: float, load: float, least: int):
                     # two sums that don't depend on the order: the class of records with the same set
                     total = np.add.reduceat(_mix(h + np.uint64(0x33)), at)
                     same[doc[at]] = _mix(total ^ np.bitwise_xor.reduceat(_mix(h + np.uint64(0x77)), at))
-                bd, bv = _blocks(doc, h, size, threshold, load, least)
+                bd, bv = _blocks(doc, h, size, threshold, load, exact) if len(h) else (doc, h)
                 new = np.zeros(rows, bool)
                 for i, s in enumerate(same.tolist()):
                     if size[i] and s not in emitted:
@@ -155,15 +180,14 @@ def _sketch_batches(width: int, threshold: float, load: float, least: int):
                         new[i] = True
                 bv, per = bv[new[bd]], np.bincount(bd[new[bd]], minlength=rows)
                 offsets = np.concatenate([[0], np.cumsum(per)]).astype(np.int32)
-                bits = _sketch(doc, h, rows)
-                words = SKETCH_BITS // 64
+                bits, words = _sketches(doc, h, size)
                 keep = pa.array(size > 0)
                 yield pa.record_batch(
                     [
                         batch.column(0),
                         pa.array(size.astype(np.int32)),
                         pa.array(same.view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * words), pa.array(bits.ravel())),
+                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(words)]).astype(np.int32)), pa.array(bits)),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(bv.view(np.int64))),
                     ],
                     schema=_SKETCHED,
@@ -172,52 +196,48 @@ def _sketch_batches(width: int, threshold: float, load: float, least: int):
     return run
 
 
-_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
-def _pairs_of_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (block, class) sorted by both: the pairs of different classes within every run of one block."""
-    hold_k, hold_s = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def emit(k: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(k):
-            return
-        first = np.concatenate([[True], (k[1:] != k[:-1]) | (s[1:] != s[:-1])])
-        k, s = k[first], s[first]
-        at, step, out_a, out_b, held = np.arange(len(k)), 1, [], [], 0
-        while True:
-            at = at[at + step < len(k)]
-            at = at[k[at] == k[at + step]]
-            if not len(at):
-                break
-            out_a.append(s[at])
-            out_b.append(s[at + step])
-            held += len(at)
-            step += 1
-            if held > 200_000:
-                yield pa.record_batch([np.concatenate(out_a), np.concatenate(out_b)], schema=_PAIR)
-                out_a, out_b, held = [], [], 0
-        if held:
-            yield pa.record_batch([np.concatenate(out_a), np.concatenate(out_b)], schema=_PAIR)
-
-    for batch in batches:
-        k = np.concatenate([hold_k, batch.column(0).to_numpy(zero_copy_only=False)])
-        s = np.concatenate([hold_s, batch.column(1).to_numpy(zero_copy_only=False)])
-        if not len(k):
-            continue
-        cut = int(np.searchsorted(k, k[-1]))
-        hold_k, hold_s = k[cut:], s[cut:]
-        yield from emit(k[:cut], s[:cut])
-    yield from emit(hold_k, hold_s)
-
-
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts as compressed bytes for the way to their partners."""
-    import zstandard
-
-    pack = zstandard.ZstdCompressor(level=3).compress
-    for b in batches:
-        yield pa.record_batch([b.column(0), pa.array([pack((t or "").encode()) for t in b.column(1).to_pylist()], pa.binary())], names=["id", "packed"])
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    """The bits that 64-bit hashes set: hashes x BITMAP_HASHES."""
+    h = hashes.view(np.uint64)
+    return np.stack([(_mix(h + np.uint64(k)) % np.uint64(BITMAP_BITS)).astype(np.int64) for k in range(BITMAP_HASHES)], axis=1)
+
+
+def _bitmap(ids: DataFrame) -> bytes:
+    """The bitmap of a column of hashes; put together piece by piece in the cluster, so the driver gets BITMAP_BITS bits at most."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(BITMAP_BITS, bool)
+        for b in batches:
+            bits[_slots(b.column(0).to_numpy(zero_copy_only=False)).ravel()] = True
+        pieces = bits.reshape(-1, _BITMAP_PIECE)
+        some = np.flatnonzero(pieces.any(axis=1))
+        yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array([np.packbits(p).tobytes() for p in pieces[some]], pa.binary())], names=["piece", "bits"])
+
+    def either(table: pa.Table) -> pa.Table:
+        one = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
+        return pa.table({"piece": table.column("piece").slice(0, 1), "bits": pa.array([one.tobytes()], pa.binary())})
+
+    whole = np.zeros((BITMAP_BITS // _BITMAP_PIECE, _BITMAP_PIECE // 8), np.uint8)
+    merged = ids.mapInArrow(part, "piece int, bits binary").groupBy("piece").applyInArrow(either, "piece int, bits binary")
+    for r in merged.collect():  # at most BITMAP_BITS / _BITMAP_PIECE rows
+        whole[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
+    return whole.tobytes()
+
+
+def _packed(bitmap):
+    """Texts whose id may be needed, as compressed bytes for the way to their partners."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        bits = np.frombuffer(bitmap.value, np.uint8)
+        for b in batches:
+            slot = _slots(b.column(2).to_numpy(zero_copy_only=False))
+            some = b.filter(pa.array(((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).all(axis=1)))
+            yield pa.record_batch([some.column(0), pa.array([pack((t or "").encode()) for t in some.column(1).to_pylist()], pa.binary())], names=["id", "packed"])
+
+    return run
 
 
 def _verify(width: int):
@@ -252,35 +272,50 @@ def record_text(*cols: str) -> Column:
     return F.concat_ws(" ", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols))
 
 
-def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float = 0.8, width: int = 5, block_load: float = 8, block_least: int = 4) -> tuple[DataFrame, DataFrame]:
-    """Classes (id, class) and links (a, b, similarity) between the representatives of classes.
+def _apart(a: str, b: str, threshold: float) -> Column:
+    """Hamming distance of two sketches, the longer one folded to the length of the shorter."""
+    words = F.least(F.size(a), F.size(b))
+
+    def narrow(x: Column, folds: int) -> Column:
+        if not folds:
+            return x
+        half = (F.size(x) / 2).cast("int")
+        folded = F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return narrow(F.when(F.size(x) > words, folded).otherwise(x), folds - 1)
+
+    folds = math.ceil(math.log2(1 / threshold))
+    both = F.zip_with(narrow(F.col(a), folds), narrow(F.col(b), folds), lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
+    return F.aggregate(both, F.lit(0), lambda s, x: s + x)
+
+
+def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float = 0.8, width: int = 5, block_load: float = 4.5, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Classes (id, class) and links (a, b, similarity) between the representatives of classes, both materialized.
 
     class is the smallest id of the records with the same shingle set; a record without shingles is in neither table.
     Links hold a < b once, for every pair of different sets with a similarity of at least ``threshold``.
     """
+    spark = df.sparkSession
     source = df.select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
     sketched = materialize(
-        source.mapInArrow(_sketch_batches(width, threshold, block_load, block_least), "id string, n int, same bigint, sketch array<bigint>, blocks array<bigint>"), "sketches"
+        source.mapInArrow(_sketch_batches(width, threshold, block_load, exact), "id string, n int, same bigint, sketch array<bigint>, blocks array<bigint>"), "sketches"
     )
+    keys = lambda s: sketched.select(F.explode("blocks").alias("block"), F.col("same").alias(s))
+    met = keys("a").join(keys("b").hint("merge"), "block").where("a < b")
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max(F.col("block").bitwiseAND(1)).alias("single")).where((F.col("c") >= AGREEMENTS) | (F.col("single") == 1))
     classes = sketched.groupBy("same").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-    keys = sketched.select(F.explode("blocks").alias("block"), "same").repartition("block").sortWithinPartitions("block", "same")
-    pairs = keys.mapInArrow(_pairs_of_runs, "a bigint, b bigint").distinct()
-    side = lambda s: classes.select(F.col("same").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
-    named = lambda s: classes.select(F.col("same").alias(s), F.col("rep").alias(f"rep_{s}"))
+    side = lambda s: classes.select(F.col("same").alias(s), F.col("rep").alias(f"rep_{s}"), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     bound = (1 - threshold) / (1 + threshold) * (F.col("n_a") + F.col("n_b"))
-    apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int")), F.lit(0), lambda s, x: s + x)
     sized = (F.col("n_a") >= threshold * F.col("n_b")) & (F.col("n_b") >= threshold * F.col("n_a"))
-    left = pairs.join(side("a"), "a").join(side("b"), "b").where(sized & (apart <= bound + 1e-9)).select("a", "b")
-    left = left.join(named("a"), "a").join(named("b"), "b")
+    left = pairs.join(side("a"), "a").join(side("b"), "b").where(sized & (_apart("sketch_a", "sketch_b", threshold) <= bound + 1e-9))
     candidates = materialize(left.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")), "candidates")
-    needed = candidates.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    n_needed = needed.count()
-    texts = source.join(F.broadcast(needed) if n_needed <= BROADCAST_IDS else needed, "id", "left_semi")
-    texts = texts.mapInArrow(_packed, "id string, packed binary")
+    bitmap = spark.sparkContext.broadcast(_bitmap(candidates.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))))))
+    texts = source.select("id", "text", F.xxhash64("id").alias("hash")).mapInArrow(_packed(bitmap), "id string, packed binary")
     full = candidates.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("packed").alias("text_b")), "b")
     links = full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width), "a string, b string, similarity double").where(F.col("similarity") >= threshold)
-    links = links.dropDuplicates(["a", "b"])  # an id may stand in several rows
-    members = sketched.select("id", "same").join(classes.select("same", F.col("rep").alias("class")), "same").select("id", "class")
+    links = materialize(links.dropDuplicates(["a", "b"]), "links")  # an id may stand in several rows
+    members = materialize(sketched.select("id", "same").join(classes.select("same", F.col("rep").alias("class")), "same").select("id", "class"), "members")
+    release(sketched)
+    release(candidates)
     return members, links
 
 

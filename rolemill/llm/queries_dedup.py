@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemill.llm.neardup import BROADCAST_IDS, expand_pairs, near_duplicates, record_text
+from rolemill.llm.components import connected_components
+from rolemill.llm.neardup import expand_pairs, near_duplicates, record_text
 from rolemill.llm.survivor import consensus, select_survivors
-from rolemill.operators.components import connected_components
 from rolemill.session import load, materialize
 
 FIELDS = ("company_name", "role_title", "job_description")
@@ -17,8 +17,7 @@ SNAPSHOT = "2026-06-30 00:00:00"
 
 def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     jobs = load(spark, sf_dir, "jobs").where(F.length("job_description") >= LEAST_CHARS)
-    members, links = near_duplicates(jobs, "job_id", record_text(*FIELDS), SIMILARITY, WIDTH)
-    return materialize(members, "members"), materialize(links, "links")
+    return near_duplicates(jobs, "job_id", record_text(*FIELDS), SIMILARITY, WIDTH)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,12 +46,11 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     chars = F.length(F.trim(F.regexp_replace("job_description", "[ \\t\\r\\n]+", " ")))
     seen = F.col("last_seen_at").cast("timestamp_ntz")
     known = F.when(seen <= F.lit(SNAPSHOT).cast("timestamp_ntz"), F.unix_micros(seen.cast("timestamp")))
-    small = groups.count() <= BROADCAST_IDS
-    facts = jobs.select("job_id", chars.alias("chars"), known.alias("seen"), "sources").join(F.broadcast(groups) if small else groups, "job_id")
-    feed = F.lower(F.regexp_replace(F.substring_index("feed", ":", 1), "^\\s+|\\s+$", ""))
-    # source_trust is fixed at ten rows
-    trusted = facts.select("job_id", F.explode("sources").alias("feed")).select("job_id", feed.alias("source")).join(F.broadcast(trust), "source").groupBy("job_id").agg(F.max("trust").alias("trust"))
-    facts = facts.join(trusted, "job_id", "left").withColumn("trust", F.coalesce("trust", F.lit(0)))
+    feed = lambda x: F.lower(F.regexp_replace(F.substring_index(x, ":", 1), "^\\s+|\\s+$", ""))
+    # source_trust is fixed at ten rows: one map, so that a listing's entries need no rows of their own
+    ranks = trust.agg(F.map_from_entries(F.collect_list(F.struct("source", "trust")))).scalar()
+    best = F.array_max(F.transform("sources", lambda s: F.coalesce(F.element_at(F.col("ranks"), feed(s)), F.lit(0))))
+    facts = jobs.withColumn("ranks", ranks).select("job_id", chars.alias("chars"), known.alias("seen"), F.coalesce(best, F.lit(0)).alias("trust")).join(groups, "job_id")
     at = F.col("seen")
     picked = select_survivors(facts, "group_id", "job_id", {"description_job_id": [F.col("chars"), at], "seen_job_id": [at], "source_job_id": [F.col("trust"), at]})
     return picked.select("group_id", "description_job_id", "seen_job_id", "source_job_id")
@@ -63,7 +61,7 @@ def p3_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     consensus of its listings. A listing votes once for each of its feeds; a group without any feed has a null source."""
     groups = materialize(_groups(spark, sf_dir), "groups")
     jobs = load(spark, sf_dir, "jobs").select("job_id", "role_title", "job_description", "sources")
-    rows = jobs.join(F.broadcast(groups) if groups.count() <= BROADCAST_IDS else groups, "job_id")
+    rows = jobs.join(groups, "job_id")
     feed = lambda x: F.lower(F.regexp_replace(F.substring_index(x, ":", 1), "^\\s+|\\s+$", ""))
     entries = rows.select("group_id", F.explode_outer(F.array_distinct(F.transform("sources", feed))).alias("source"))
     titles = consensus(rows, "group_id", "role_title")

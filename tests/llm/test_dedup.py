@@ -69,8 +69,51 @@ def test_sketch_distance_never_exceeds_the_difference():
     for _ in range(50):
         a = set(rng.integers(0, 500, 200).tolist())
         b = set(list(a)[: rng.integers(1, 150)]) | set(rng.integers(0, 500, 60).tolist())
-        bits = [neardup._sketch(np.zeros(len(s), np.int64), np.array(sorted(s), np.uint64), 1)[0].view(np.uint64) for s in (a, b)]
-        assert int(np.bitwise_count(bits[0] ^ bits[1]).sum()) <= len(a ^ b)
+        sizes = [len(a), len(b)]
+        bits, words = neardup._sketches(np.repeat([0, 1], sizes), np.array([*sorted(a), *sorted(b)], np.uint64), np.array(sizes))
+        x, y = bits[: words[0]], bits[words[0] :]
+        while len(x) != len(y):
+            longer = x if len(x) > len(y) else y
+            folded = longer[: len(longer) // 2] ^ longer[len(longer) // 2 :]
+            x, y = (folded, y) if longer is x else (x, folded)
+        assert 0 < int(np.bitwise_count(x ^ y).sum()) <= len(a ^ b)
+
+
+def test_blocks_agree_where_nothing_differs():
+    """A pair's agreeing blocks: many for one at the threshold, and every shared shingle where shingles are blocks."""
+    rng = np.random.default_rng(2)
+    for size in (30, 200, 700):
+        shared = rng.integers(0, 1 << 50, size * 3 // 4).astype(np.uint64)
+        sets = [np.unique(np.concatenate([shared, rng.integers(0, 1 << 50, size // 4).astype(np.uint64)])) for _ in range(2)]
+        doc, h, n = np.repeat([0, 1], [len(x) for x in sets]), np.concatenate(sets), np.array([len(x) for x in sets])
+        d, v = neardup._blocks(doc, h, n, 0.6, 4.5, False)
+        assert len(np.intersect1d(v[d == 0], v[d == 1])) >= (2 if size > 60 else len(shared))
+        d, v = neardup._blocks(doc, h, n, 0.6, 4.5, True)
+        assert len(np.intersect1d(v[d == 0], v[d == 1])) >= len(shared)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_exact_mode(spark, seed):
+    texts = corpus(seed, 60)
+    df = spark.createDataFrame(list(texts.items()), "key string, text string")
+    members, links = neardup.near_duplicates(df, "key", F.col("text"), 0.5, 3, exact=True)
+    assert {tuple(r) for r in neardup.expand_pairs(members, links).collect()} == model(texts, 3, 0.5)
+
+
+def test_a_block_that_all_records_share(spark):
+    """One long passage in every record: its blocks are hot, and no pair comes of them alone."""
+    rng = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(120))
+    texts = {f"h{i:03}": passage + " " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(120 if i % 9 else 20)) for i in range(150)}
+    df = spark.createDataFrame(list(texts.items()), "key string, text string")
+    members, links = neardup.near_duplicates(df, "key", F.col("text"), 0.6, 3)
+    assert {tuple(r) for r in neardup.expand_pairs(members, links).collect()} == model(texts, 3, 0.6)
+
+
+def test_bitmap_holds_every_id(spark):
+    bits = np.frombuffer(neardup._bitmap(spark.range(5000).select(F.xxhash64("id"))), np.uint8)
+    slots = neardup._slots(np.array([r[0] for r in spark.range(5000).select(F.xxhash64("id")).collect()], np.int64))
+    assert ((bits[slots >> 3] >> (7 - (slots & 7))) & 1).all() and np.unpackbits(bits).sum() <= 3 * 5000
 
 
 @pytest.mark.parametrize("name", ["p2_found", "p3_found"])
