@@ -71,7 +71,7 @@ def test_sketch_distance_never_exceeds_the_difference():
         b = set(list(a)[: rng.integers(1, 150)]) | set(rng.integers(0, 500, 60).tolist())
         sizes = [len(a), len(b)]
         bits, words = neardup._sketches(np.repeat([0, 1], sizes), np.array([*sorted(a), *sorted(b)], np.uint64), np.array(sizes))
-        x, y = bits[: words[0]], bits[words[0] :]
+        x, y = bits[: words[0]].view(np.uint64), bits[words[0] :].view(np.uint64)
         while len(x) != len(y):
             longer = x if len(x) > len(y) else y
             folded = longer[: len(longer) // 2] ^ longer[len(longer) // 2 :]
