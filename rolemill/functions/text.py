@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -71,10 +72,6 @@ def first_match(c: Column, rules: Iterable[tuple[str, str]], default: str | None
     return F.coalesce(*whens, F.lit(default))
 
 
-def _phrases(text: str) -> str:
-    return r"\b(" + "|".join(r"[\s-]+".join(map(re.escape, p.split())) for p in text.split(", ")) + r")\b"
-
-
 def title_level(c: Column) -> Column:
     return first_match(c, T.TITLE_LEVELS, "mid_level")
 
@@ -85,13 +82,13 @@ def title_stage(c: Column) -> Column:
 
 def title_function(c: Column) -> Column:
     """An array with the one kind of work that the title tells, or an empty one."""
-    found = first_match(c, [(label, _phrases(words)) for label, words in T.TITLE_FUNCTIONS])
+    found = first_match(c, T.TITLE_FUNCTIONS)
     return F.when(found.isNull(), F.array().cast("array<string>")).otherwise(F.array(found))
 
 
 def title_skills(c: Column, most: int = 10) -> Column:
     low = F.lower(c)
-    each = [F.when(low.rlike(p), F.array(*[F.lit(s) for s in skills.split(", ")])).otherwise(F.array().cast("array<string>")) for p, skills in T.TITLE_SKILLS]
+    each = [F.when(low.rlike(p), F.array(*[F.lit(s) for s in skills])).otherwise(F.array().cast("array<string>")) for p, skills in T.TITLE_SKILLS]
     return F.slice(F.array_sort(F.array_distinct(F.concat(*each))), 1, most)
 
 
@@ -99,20 +96,43 @@ def title_industry(c: Column) -> Column:
     return first_match(c, T.TITLE_INDUSTRIES)
 
 
-def text_skills(c: Column, most: int = 10) -> Column:
-    """Skills named in a text, in the order of the list. A word that ends in a sign, like c++, needs no word border after it."""
+def _beginnings(pattern: str) -> list[str] | None:
+    """The letters with which every alternative of a pattern begins at a word border; None where one can't be told."""
+    alternatives, depth, last = [], 0, 0
+    for k, ch in enumerate(pattern):
+        depth += (ch == "(") - (ch == ")")
+        if ch == "|" and not depth:
+            alternatives.append(pattern[last:k])
+            last = k + 1
+    found = [re.match(r"\\b([a-z0-9]+)(?![?*])", a) for a in [*alternatives, pattern[last:]]]
+    return [m.group(1) for m in found] if all(found) else None
+
+
+def text_skills(c: Column, most: int = 10, rules: Iterable[tuple[str, str]] = T.TEXT_SKILLS) -> Column:
+    """Skills named in a text, in the order of the list.
+
+    One pass over the text finds the words with which a rule can begin; only rules whose word is there are tried.
+    """
+    begin = {name: _beginnings(p) for name, p in rules}
+    words = sorted({w for b in begin.values() for w in b or ()}, key=lambda w: (-len(w), w))
+    first_pass = F.lit(r"\b(?:" + "|".join(words) + ")")
+
+    def begins_with(some: list[str]) -> Callable[[Column], Column]:
+        return lambda h: functools.reduce(Column.__or__, [F.startswith(h, F.lit(w)) for w in some])
+
     def named(low: Column) -> Column:
-        each = []
-        for rule in T.TEXT_SKILLS:
-            if isinstance(rule, tuple):
-                each.append(F.when(low.rlike(rule[1]), F.lit(rule[0])))
-                continue
-            # looking for the plain word first spares most expressions
-            pattern = r"\b" + re.escape(rule).replace(r"\ ", r"\s+") + (r"\b" if rule[-1].isalnum() else r"(?![+#\w])")
-            each.append(F.when(F.contains(low, F.lit(rule.split()[0])) & low.rlike(pattern), F.lit(rule)))
-        return F.slice(F.filter(F.array(*each), lambda s: s.isNotNull()), 1, most)
-
-    # inside a lambda the lower-cased text is made once, not once a rule
+        def of(hits: Column) -> Column:
+            each = []
+            for name, p in rules:
+                here = low.rlike(p)
+                if begin[name] is not None:
+                    here = F.exists(hits, begins_with(begin[name])) & here
+                each.append(F.when(here, F.lit(name)))
+            return F.slice(F.filter(F.array(*each), lambda s: s.isNotNull()), 1, most)
+
+        return F.get(F.transform(F.array(F.array_distinct(F.regexp_extract_all(low, first_pass, F.lit(0)))), of), F.lit(0))
+
+    # inside a lambda the lower-cased text and the words found are made once, not once a rule
     return F.get(F.transform(F.array(F.lower(c)), named), F.lit(0))
 
 

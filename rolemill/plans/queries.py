@@ -11,6 +11,7 @@ from rolemill.functions import tables as T
 from rolemill.functions import text as X
 from rolemill.operators import dedup, enrich, gates, match, merge, predicates, stats, sync
 from rolemill.operators import feedback as fold
+from rolemill.plans import title_sql
 from rolemill.session import load
 from rolemill.sources import parsers
 
@@ -59,10 +60,6 @@ def sql_case(c: str, table: dict, default: str) -> str:
     return f"CASE {c} " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in table.items()) + f" ELSE {default} END"
 
 
-def sql_rules(c: str, rules, default: str) -> str:
-    return "CASE " + " ".join(f"WHEN regexp_matches({c}, '{p}', 'i') THEN '{label}'" for label, p in rules) + f" ELSE {default} END"
-
-
 # ---- identities and normal forms
 
 
@@ -149,7 +146,7 @@ def canonical_urls(spark, d):
 
 
 @query(r"""SELECT job_id, lower(regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)', 1)) AS host, nullif(regexp_extract(u, '[?&]id=([^&#]*)', 1), '') AS id_param,
- CASE WHEN lower(u) LIKE '%linkedin.com%' OR lower(u) LIKE '%indeed.com%' THEN true ELSE false END AS aggregator,
+ regexp_matches(lower(regexp_extract(u, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://)?([^/?#]*)', 1)), 'linkedin[.]com|indeed[.]com|glassdoor[.]com|ziprecruiter[.]com|simplyhired[.]com') AS aggregator,
  lower(regexp_extract(u, '^([A-Za-z]+)://', 1)) || '://' || lower(regexp_extract(u, '://([^/?#]*)', 1)) || CASE WHEN regexp_replace(regexp_extract(u, '://[^/?#]*([^?#;]*)', 1), '/+$', '') = '' THEN '/' ELSE regexp_replace(regexp_extract(u, '://[^/?#]*([^?#;]*)', 1), '/+$', '') END AS bare
  FROM (SELECT job_id, trim(primary_url) AS u FROM jobs WHERE primary_url LIKE 'http%')""")
 def url_parts(spark, d):
@@ -160,31 +157,30 @@ def url_parts(spark, d):
 # ---- classification
 
 
-@query(f"SELECT job_id, {sql_rules('role_title', T.TITLE_LEVELS, repr('mid_level'))} AS level, {sql_rules('role_title', T.TITLE_INDUSTRIES, 'NULL')} AS industry FROM jobs")
+@query(f"SELECT job_id, {title_sql.LEVEL} AS level, {title_sql.INDUSTRY} AS industry FROM jobs")
 def title_levels(spark, d):
     return jobs_of(spark, d).select("job_id", X.title_level(F.col("role_title")).alias("level"), X.title_industry(F.col("role_title")).alias("industry"))
 
 
-@query(f"SELECT job_id, CASE WHEN f IS NULL THEN [] ELSE [f] END AS functions FROM (SELECT job_id, {sql_rules('role_title', [(n, X._phrases(w)) for n, w in T.TITLE_FUNCTIONS], 'NULL')} AS f FROM jobs)")
+@query(f"SELECT job_id, CASE WHEN f IS NULL THEN [] ELSE [f] END AS functions FROM (SELECT job_id, {title_sql.FUNCTION} AS f FROM jobs)")
 def title_functions(spark, d):
     return jobs_of(spark, d).select("job_id", X.title_function(F.col("role_title")).alias("functions"))
 
 
-@query("SELECT job_id, list_sort(list_distinct(flatten([" + ", ".join(f"CASE WHEN regexp_matches(lower(role_title), '{p}') THEN [{', '.join(repr(s) for s in v.split(', '))}] ELSE [] END" for p, v in T.TITLE_SKILLS) + "])))[1:10] AS skills FROM jobs")
+@query(title_sql.TITLE_SKILLS)
 def title_skills(spark, d):
     return jobs_of(spark, d).select("job_id", X.title_skills(F.col("role_title")).alias("skills"))
 
 
-@query()
+@query(f"SELECT job_id, {title_sql.STAGE} AS stage FROM jobs")
 def title_stages(spark, d):
-    """Rules with a look-ahead, which the SQL engine's expressions lack; tested against Python's."""
     return jobs_of(spark, d).select("job_id", X.title_stage(F.col("role_title")).alias("stage"))
 
 
-@query()
+@query(title_sql.TEXT_SKILLS)
 def text_skills(spark, d):
-    """Skills named in the descriptions; word borders differ between the engines on scripts without letters of case."""
-    return jobs_of(spark, d).select("job_id", X.text_skills(F.col("job_description")).alias("skills"))
+    """Skills named in the whole descriptions."""
+    return jobs_of(spark, d).select("job_id", X.text_skills(F.coalesce("job_description", F.lit(""))).alias("skills"))
 
 
 _MARK = "list_filter([" + ", ".join("'" + m.replace("'", "''") + "'" for m in T.CLOSED_MARKERS) + "], lambda m: contains(lower(text), m))[1]"

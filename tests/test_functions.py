@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 import unicodedata
 from urllib.parse import parse_qs, urlencode, urlparse, urlunparse
@@ -80,8 +81,27 @@ def test_title_function_is_one_bucket_or_none(spark):
     assert evaluate(spark, X.title_function(F.col("v")), "Data Engineer", "Front-end Developer", "Janitor", None) == [["data_analysis"], ["software_engineering"], [], []]
 
 
-def test_text_skills_finds_words_that_end_in_signs(spark):
-    assert evaluate(spark, X.text_skills(F.col("v")), "We use C++, C# and JavaScript; k8s. Not javascripts.", "", None) == [["javascript", "c++", "c#", "kubernetes"], [], []]
+def test_text_skills_are_those_of_the_patterns(spark):
+    """As the patterns say: a word border must follow the sign of c++ and c#."""
+    texts = ["We use C++, C# and JavaScript; k8s. Not javascripts.", "Spring Boot, Next.js, SQL/R, scikit-learn, Google Cloud, workday", "", None]
+    want = [["javascript", "kubernetes"], ["r", "sql", "next.js", "spring boot", "spring", "gcp", "scikit-learn", "workday"], [], []]
+    assert evaluate(spark, X.text_skills(F.col("v")), *texts) == want
+
+
+def test_text_skills_equal_every_pattern_tried_alone(spark):
+
+    rng = random.Random(4)
+    words = [w for name, _ in T.TEXT_SKILLS for w in name.split()] + "react.js reactjs golang go developer express server mongo lean six pmp html5 css3 k8s github sklearn r studio sas , / . the elastic search adobe cc".split()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 12))) for _ in range(150)]
+    want = [[name for name, p in T.TEXT_SKILLS if re.search(p, t)][:10] for t in texts]
+    assert evaluate(spark, X.text_skills(F.col("v")), *texts) == want
+
+
+def test_title_rules_beyond_the_tables_at_hand(spark):
+    titles = ["Fullstack Engineer", "Policy Director", "Director of Content", "Machine-Learning Intern", "Product-Manager", "iOS Developer", "L&D Partner"]
+    want = [["software_engineering"], ["public_sector_and_government"], ["arts_and_entertainment"], [], ["management_and_executive"], ["software_engineering"], ["human_resources"]]
+    assert evaluate(spark, X.title_function(F.col("v")), *titles) == want
+    assert evaluate(spark, X.title_skills(F.col("v")), "iOS and Android", "NLP Researcher, AI") == [["android", "ios", "kotlin", "swift"], ["deep learning", "machine learning", "nlp", "python"]]
 
 
 def test_skills_keep_first_of_equal(spark):
