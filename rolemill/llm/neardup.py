@@ -202,7 +202,7 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return np.stack([(_mix(h + np.uint64(k)) % np.uint64(BITMAP_BITS)).astype(np.int64) for k in range(BITMAP_HASHES)], axis=1)
 
 
-def _bitmap(ids: DataFrame) -> bytes:
+def bitmap_of(ids: DataFrame) -> bytes:
     """The bitmap of a column of hashes; put together piece by piece in the cluster, so the driver gets BITMAP_BITS bits at most."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,6 +224,12 @@ def _bitmap(ids: DataFrame) -> bytes:
     return whole.tobytes()
 
 
+def in_bitmap(bitmap: bytes, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be in the bitmap; those that it was made of are."""
+    bits, slot = np.frombuffer(bitmap, np.uint8), _slots(hashes)
+    return ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).all(axis=1)
+
+
 def _packed(bitmap):
     """Texts whose id may be needed, as compressed bytes for the way to their partners."""
 
@@ -231,10 +237,8 @@ def _packed(bitmap):
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
-        bits = np.frombuffer(bitmap.value, np.uint8)
         for b in batches:
-            slot = _slots(b.column(2).to_numpy(zero_copy_only=False))
-            some = b.filter(pa.array(((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).all(axis=1)))
+            some = b.filter(pa.array(in_bitmap(bitmap.value, b.column(2).to_numpy(zero_copy_only=False))))
             yield pa.record_batch([some.column(0), pa.array([pack((t or "").encode()) for t in some.column(1).to_pylist()], pa.binary())], names=["id", "packed"])
 
     return run
@@ -308,7 +312,7 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float =
     sized = (F.col("n_a") >= threshold * F.col("n_b")) & (F.col("n_b") >= threshold * F.col("n_a"))
     left = pairs.join(side("a"), "a").join(side("b"), "b").where(sized & (_apart("sketch_a", "sketch_b", threshold) <= bound + 1e-9))
     candidates = materialize(left.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")), "candidates")
-    bitmap = spark.sparkContext.broadcast(_bitmap(candidates.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))))))
+    bitmap = spark.sparkContext.broadcast(bitmap_of(candidates.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))))))
     texts = source.select("id", "text", F.xxhash64("id").alias("hash")).mapInArrow(_packed(bitmap), "id string, packed binary")
     full = candidates.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("packed").alias("text_b")), "b")
     links = full.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width), "a string, b string, similarity double").where(F.col("similarity") >= threshold)

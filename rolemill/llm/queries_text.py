@@ -37,13 +37,13 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stuffed_pages(load(spark, sf_dir, "documents"), least_words=1).select("doc_id")
+    return stuffed_pages(load(spark, sf_dir, "documents")).select("doc_id")
 
 
 def p8_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typical rank-frequency curve of every length: the middle of the pages' slopes and residuals."""
-    curves = page_curves(load(spark, sf_dir, "documents"), "doc_id", "text", "lang")
-    return curves.groupBy("size").agg(F.count("*").alias("pages"), F.round(F.avg("slope"), 4).alias("slope"), F.round(F.avg("residual"), 4).alias("residual"))
+    """The typical rank-frequency curve of every length: the mean of slopes, residuals and divergences of all different texts."""
+    curves = page_curves(load(spark, sf_dir, "documents"), "text", "lang")
+    return curves.groupBy("size").agg(F.count("*").alias("pages"), F.round(F.avg("slope"), 4).alias("slope"), F.round(F.avg("residual"), 4).alias("residual"), F.round(F.avg("divergence"), 4).alias("divergence"))
 
 
 QUERIES = {"p6_ids": p6_ids, "p6_roundtrip": p6_roundtrip, "p7_containers": p7_containers, "p7_fill": p7_fill, "p8_found": p8_found, "p8_curves": p8_curves}

@@ -111,9 +111,10 @@ def test_a_block_that_all_records_share(spark):
 
 
 def test_bitmap_holds_every_id(spark):
-    bits = np.frombuffer(neardup._bitmap(spark.range(5000).select(F.xxhash64("id"))), np.uint8)
-    slots = neardup._slots(np.array([r[0] for r in spark.range(5000).select(F.xxhash64("id")).collect()], np.int64))
-    assert ((bits[slots >> 3] >> (7 - (slots & 7))) & 1).all() and np.unpackbits(bits).sum() <= 3 * 5000
+    hashes = spark.range(5000).select(F.xxhash64("id"))
+    bits, those = neardup.bitmap_of(hashes), np.array([r[0] for r in hashes.collect()], np.int64)
+    assert neardup.in_bitmap(bits, those).all() and not neardup.in_bitmap(bits, those + 1).all()
+    assert np.unpackbits(np.frombuffer(bits, np.uint8)).sum() <= 3 * 5000
 
 
 @pytest.mark.parametrize("name", ["p2_found", "p3_found"])
