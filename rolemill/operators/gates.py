@@ -12,6 +12,7 @@ LEAST_COVERAGE, MOST_BACKLOG, DROP_SHARE, DROP_POINTS = 0.97, 300, 0.10, 0.05
 ABSOLUTE = (("embedded_cov_of_embeddable", "at_least", LEAST_COVERAGE), ("embeddable_backlog", "at_most", MOST_BACKLOG), ("vector_violations", "at_most", 0), ("active", "at_least", 1), ("matchable", "at_least", 1))
 RELATIVE = ("active", "matchable")
 POINTS = ("embedded_cov_of_active", "industry_cov", "seniority_cov", "skills_cov")
+SOFT_POINTS = ("sponsorship_cov",)
 
 
 def ratio(part: Column, whole: Column, empty: float = 0.0) -> Column:
@@ -66,6 +67,33 @@ def gate_failures(metrics: DataFrame, prior: DataFrame | None = None) -> DataFra
     return failed.union(share).union(points)
 
 
+def soft_metrics(jobs: DataFrame) -> DataFrame:
+    """(sponsorship_cov): a coverage that may fall, as "can't tell" is an answer."""
+    return jobs.agg(ratio(F.count_if(active() & F.col("sponsorship").isNotNull()), F.count_if(active())).alias("sponsorship_cov"))
+
+
+def gate_warnings(metrics: DataFrame, prior: DataFrame) -> DataFrame:
+    """(metric, value, before, points) of soft coverages that fell by more than the allowed points; they stop nothing."""
+    both = as_rows(metrics).where(F.col("metric").isin(*SOFT_POINTS)).join(prior.select("metric", F.col("value").alias("before")), "metric")
+    return both.where(F.col("before") - F.col("value") > DROP_POINTS).select("metric", "value", "before", F.round((F.col("before") - F.col("value")) * 100, 4).alias("points"))
+
+
+def stage_outcome(results: DataFrame, least: int = 50) -> DataFrame:
+    """(stage, asked, resolved, outcome) from (stage, resolved, infra_error): degraded when a dependency failed, or when
+    enough was asked and nothing came back; else ok."""
+    a = results.groupBy("stage").agg(F.count("*").alias("asked"), F.count_if("resolved").alias("resolved"), F.bool_or(F.coalesce("infra_error", F.lit(False))).alias("_down"))
+    bad = F.col("_down") | ((F.col("asked") >= least) & (F.col("resolved") == 0))
+    return a.select("stage", "asked", "resolved", F.when(bad, "degraded").otherwise("ok").alias("outcome"))
+
+
+def integrity_alerts(jobs: DataFrame, late: DataFrame, most: int = 100) -> DataFrame:
+    """(check, rows, alert): rows whose first time is later than their identity's (``late`` has that flag), active rows
+    without a level, and active rows with a text but no skills; more than ``most`` of one kind is an alert."""
+    gaps = jobs.agg(F.count_if(active() & F.col("seniority_level").isNull()).alias("no_level"), F.count_if(active() & usable_text() & ~has_entries()).alias("no_skills"))
+    rows = as_rows(gaps).union(late.agg(F.count_if("late").cast("double").alias("n")).select(F.lit("late_first_seen"), "n"))
+    return rows.select(F.col("metric").alias("check"), F.col("value").cast("bigint").alias("rows"), (F.col("value") > most).alias("alert"))
+
+
 def publish_decision(metrics: DataFrame, baseline: DataFrame) -> DataFrame:
     """(passes, matchable, baseline, next_baseline): no violations and no fewer matchable rows than last time; the baseline moves only on a pass."""
     last = baseline.where("metric = 'matchable'").agg(F.max("value").alias("b")).select(F.lit(1).alias("k"), "b")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from rolemill.functions.normalize import identity_text
-from rolemill.operators.predicates import changed, matchable
+from rolemill.operators.predicates import changed, matchable, usable_text
 
 Policy = Callable[[Column, Column, Column], Column]
 
@@ -129,7 +129,8 @@ def mark_inactive(snapshot: DataFrame, ids: DataFrame, now: Column) -> DataFrame
 
 def split_tombstoned(delta: DataFrame, tombstones: DataFrame, now: Column, days: int = 90, retries: int = 100, order: str = "job_id") -> DataFrame:
     """The delta with ``verdict``: fresh, skipped (dead), or retried (dead for so many days; at most ``retries``, the first in order)."""
-    dead = tombstones.where("dead").select("job_id", F.lit(True).alias("_dead"), "dead_confirmed_at")
+    # a listing may have been confirmed dead several times: the last time counts
+    dead = tombstones.where("dead").groupBy("job_id").agg(F.lit(True).alias("_dead"), F.max("dead_confirmed_at").alias("dead_confirmed_at"))
     rows = delta.join(dead, "job_id", "left")
     due = F.coalesce(F.col("_dead") & (F.col("dead_confirmed_at") <= now - F.make_dt_interval(F.lit(days))), F.lit(False))
     # the limit is the feature: it bounds how much one run tries again
@@ -138,6 +139,13 @@ def split_tombstoned(delta: DataFrame, tombstones: DataFrame, now: Column, days:
     return rows.join(again, "job_id", "left").withColumn("verdict", verdict).select(*delta.columns, "verdict")
 
 
+def revived(snapshot: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """The snapshot with the tombstones of retried listings cleared (verdicts: what ``split_tombstoned`` gives)."""
+    again = verdicts.where("verdict = 'retried'").select("job_id", F.lit(True).alias("_again")).distinct()
+    rows = snapshot.join(again, "job_id", "left")
+    return rows.withColumns({"dead": F.when(F.col("_again"), F.lit(False)).otherwise(F.col("dead")), "dead_confirmed_at": F.when(F.col("_again").isNull(), F.col("dead_confirmed_at"))}).select(*snapshot.columns)
+
+
 def mirror_dead(snapshot: DataFrame, remote: DataFrame, now: Column) -> DataFrame:
     """Rows that another store calls dead: its time, else the one known, else now."""
     src = remote.groupBy("job_id").agg(F.max("dead_at").alias("_at")).withColumn("_is", F.lit(True))
@@ -165,8 +173,9 @@ def purge(snapshot: DataFrame, feedback: DataFrame, now: Column, days: int = 14)
 def write_back(snapshot: DataFrame, results: DataFrame, key: str, columns: list[str], overwrite: bool = True) -> DataFrame:
     """Results of a step put into the snapshot: only non-blank values count; with overwrite=False only gaps are filled."""
     filled = lambda c: F.nullif(F.col(c), F.lit("")) if results.schema[c].dataType.simpleString() == "string" else F.when(F.size(c) > 0, F.col(c)) if results.schema[c].dataType.simpleString().startswith("array") else F.col(c)
-    r = results.select(key, *[filled(c).alias(f"_{c}") for c in columns])
-    rows = snapshot.join(r, key, "left")
+    # a result that came twice is one result; of different ones the greatest
+    one = results.groupBy(key).agg(F.max(F.struct(*[filled(c).alias(f"_{c}") for c in columns])).alias("_r"))
+    rows = snapshot.join(one, key, "left").select(*[F.col(c) for c in snapshot.columns], *[F.col(f"_r._{c}").alias(f"_{c}") for c in columns])
     gap = lambda c: F.nullif(F.col(c), F.lit("")) if snapshot.schema[c].dataType.simpleString() == "string" else F.when(F.size(c) > 0, F.col(c)) if snapshot.schema[c].dataType.simpleString().startswith("array") else F.col(c)
     new = {c: F.coalesce(f"_{c}", c) if overwrite else F.coalesce(gap(c), F.col(f"_{c}"), F.col(c)) for c in columns}
     return rows.withColumns(new).select(*snapshot.columns)
@@ -197,3 +206,29 @@ def violations(snapshot: DataFrame) -> DataFrame:
     }
     one = snapshot.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
     return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("rows")) for n in checks])).alias("x")).select("x.check", "x.rows")
+
+
+def audit(snapshot: DataFrame, feedback: DataFrame, users: DataFrame, dim: int, least_coverage: float = 0.97, most_unlevelled: float = 0.20) -> DataFrame:
+    """(check, severity, value) of the integrity findings; severity is ok where nothing is wrong. One pass over the
+    snapshot, two aggregates for duplicates, two anti joins for the reactions."""
+    on, vector = F.coalesce(F.col("status") == "active", F.lit(False)), F.col("embedding").isNotNull()
+    counted = {
+        "active": on, "embedded": on & vector, "wrong_size": vector & (F.size("embedding") != dim), "time_without_vector": F.col("embedded_at").isNotNull() & ~vector,
+        "vector_without_time": vector & F.col("embedded_at").isNull(), "vector_without_model": vector & F.col("embedding_model").isNull(),
+        "embedded_thin_text": on & vector & ~usable_text(), "no_level": on & F.col("seniority_level").isNull(), "no_address": on & (F.coalesce("primary_url", F.lit("")) == ""),
+        "ends_before_start": F.col("last_seen_at") < F.col("first_seen_at"),
+    }
+    one = snapshot.agg(*[F.count_if(F.coalesce(c, F.lit(False))).cast("double").alias(n) for n, c in counted.items()], F.count_distinct("embedding_model").cast("double").alias("models"))
+    share = lambda a, b: F.coalesce(F.try_divide(a, b), F.lit(0.0))
+    c = F.col
+    found = [
+        ("coverage_below_floor", "WARN", share(c("embedded"), c("active")), share(c("embedded"), c("active")) < least_coverage), ("mixed_models", "CRIT", c("models"), c("models") > 1), ("wrong_size", "CRIT", c("wrong_size"), c("wrong_size") > 0),
+        ("no_level_share", "WARN", share(c("no_level"), c("active")), share(c("no_level"), c("active")) > most_unlevelled),
+        *[(n, "WARN", c(n), c(n) > 0) for n in ("time_without_vector", "vector_without_time", "vector_without_model", "embedded_thin_text", "no_address", "ends_before_start")],
+    ]
+    rows = one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check"), F.when(bad, sev).otherwise("ok").alias("severity"), F.round(v, 6).alias("value")) for n, sev, v, bad in found])).alias("x")).select("x.*")
+    flag = lambda df, name, sev: df.select(F.lit(name).alias("check"), F.when(c("n") > 0, sev).otherwise("ok").alias("severity"), c("n").cast("double").alias("value"))
+    same = snapshot.where(on & (F.coalesce("primary_url", F.lit("")) != "")).groupBy("company_name", "role_title", "primary_url").agg((F.count("*") - 1).alias("m")).agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))
+    twice = feedback.groupBy("user_id", "job_id").agg((F.count("*") - 1).alias("m")).agg(F.coalesce(F.sum("m"), F.lit(0)).alias("n"))
+    lost = lambda other, key: feedback.join(other.select(key), key, "left_anti").agg(F.count("*").alias("n"))
+    return rows.union(flag(same, "same_listing", "INFO")).union(flag(twice, "repeated_reaction", "WARN")).union(flag(lost(users, "user_id"), "reaction_of_nobody", "WARN")).union(flag(lost(snapshot, "job_id"), "reaction_to_nothing", "WARN"))

@@ -66,9 +66,30 @@ def needs_vector() -> Column:
 
 
 def needs_text(now: Column, stale_days: int = 1) -> Column:
-    """Texts too short, never tried or tried long enough ago."""
-    tried = F.col("text_tried_at")
-    return active() & ~usable_text() & (tried.isNull() | (tried < now - F.make_dt_interval(F.lit(stale_days))))
+    """Texts too short, never tried or tried long enough ago. Listings gone for good, and those that were skipped or
+    closed, don't come back; a listing without a source of its text counts only if it was never tried."""
+    tried, source = F.col("text_tried_at"), F.col("text_source")
+    again = tried.isNull() | ((tried < now - F.make_dt_interval(F.lit(stale_days))) & ~source.isin("skip_no_url", "closed_at_source"))
+    return active() & ~usable_text() & ~F.coalesce("permanent_404", F.lit(False)) & F.coalesce(again, F.lit(False))
+
+
+def needs_enrichment(now: Column, stale_days: int = 7) -> Column:
+    """Never enriched or long ago, and without a text or with an empty list of skills (an unknown list is no gap)."""
+    at = F.col("enriched_at")
+    stale = at.isNull() | (at < now - F.make_dt_interval(F.lit(stale_days)))
+    return active() & stale & (F.col("job_description").isNull() | F.coalesce(F.size("required_skills") == 0, F.lit(False)))
+
+
+def needs_address(aggregator: str, skipped: tuple[str, ...] = ("skip_no_url",)) -> Column:
+    """Active, without an address of the employer's own, listed at the aggregator, and not given up."""
+    open_ = F.col("text_source").isNull() | ~F.col("text_source").isin(*skipped)
+    return active() & (F.coalesce("apply_url", F.lit("")) == "") & F.coalesce(F.contains(F.lower("primary_url"), F.lit(aggregator.lower())), F.lit(False)) & F.col("role_title").isNotNull() & F.col("company_name").isNotNull() & open_
+
+
+def went_stale(now: Column, least_days: int = 1, most_days: int = 2) -> Column:
+    """Inactive, last seen within a window of days before now."""
+    at = F.col("last_seen_at")
+    return (F.col("status") == "inactive") & at.between(now - F.make_dt_interval(F.lit(most_days)), now - F.make_dt_interval(F.lit(least_days)))
 
 
 def search(status: str | None = None, source: str | None = None, industry: str | None = None, text: str | None = None) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rolemill.functions.normalize import canonical_signature
-from rolemill.operators.predicates import changed
+from rolemill.operators.predicates import changed, shippable
 from rolemill.session import materialize
 
 
@@ -28,6 +28,26 @@ def to_ship(jobs: DataFrame, ledger: DataFrame, since: Column | None = None) ->
     return rows.where(due).select(*jobs.columns)
 
 
+def shipment(jobs: DataFrame, ledger: DataFrame, since: Column | None = None, with_inactive: bool = True) -> DataFrame:
+    """What one run sends, with ``stream`` and ``turn``: rows that became inactive go before the active ones, so that a
+    receiver never holds a withdrawn listing beside its successor. Active rows must be shippable and due; inactive ones
+    must have been shipped before and go latest first."""
+    live = to_ship(jobs.where(shippable("dead" in jobs.columns)), ledger, since).withColumns({"stream": F.lit("active"), "turn": F.lit(1)})
+    if not with_inactive:
+        return live
+    gone = jobs.where(F.col("status") == "inactive").join(ledger.select("job_id").distinct(), "job_id", "left_semi")
+    return gone.withColumns({"stream": F.lit("inactive"), "turn": F.lit(0)}).unionByName(live)
+
+
+def after_run(ledger: DataFrame, sent: DataFrame, results: DataFrame, at: Column, stored: Any = None) -> tuple[DataFrame, DataFrame]:
+    """(ledger, watermark) after a run: only delivered active rows are recorded, and only they move the watermark.
+
+    sent: the shipment; results: (job_id, delivered). A row that was refused stays due.
+    """
+    done = sent.where("stream = 'active'").join(results.where("delivered").select("job_id").distinct(), "job_id", "left_semi")
+    return updated_ledger(ledger, done, at), next_watermark(done, stored)
+
+
 def effective_since(stored: Any, given: Any) -> Any:
     """The earlier of two watermarks, where None is the beginning of time."""
     return None if stored is None or given is None else min(stored, given)

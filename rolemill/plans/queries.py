@@ -452,11 +452,6 @@ def affinities(spark, d):
     return fold.affinity(load(spark, d, "feedback"), jobs_of(spark, d), 64)
 
 
-@query()
-def profiles_updated(spark, d):
-    return fold.apply_feedback(load(spark, d, "user_profiles"), load(spark, d, "feedback"), jobs_of(spark, d))
-
-
 # ---- gates
 
 _METRICS = f"""SELECT *, CASE WHEN active > 0 THEN round(active_embedded / active, 6) ELSE 0 END AS embedded_cov_of_active, CASE WHEN embeddable > 0 THEN round((embeddable - embeddable_backlog) / embeddable, 6) ELSE 1 END AS embedded_cov_of_embeddable,

@@ -35,11 +35,14 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a local one where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a local one, in local mode alone:
+    on a cluster every executor would write to a disk of its own."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if app not in _fallback:
         _fallback[app] = "file://" + tempfile.mkdtemp(prefix="rolemill-")
     return _fallback[app]

@@ -193,8 +193,8 @@ def registry_rows(files: DataFrame, system: str = "system", body: str = "body")
 def registry_lookup(names: DataFrame, registry: DataFrame, name: str = "company_name", least_chars: int = 3) -> DataFrame:
     """(name, slug, exact): by key, else the first entry that contains the name's key or lies within it.
 
-    Containment is joined on shared three-letter pieces instead of all pairs: whichever key is the shorter, its first
-    piece occurs in the longer one. Keys below ``least_chars`` letters match by equality alone.
+    Containment is joined on shared three-letter pieces instead of all pairs: whichever key is the shorter, its rarest
+    piece occurs in the longer one, so a common piece is no hot key. Keys below ``least_chars`` letters match by equality alone.
     """
     n = names.select(name).where(F.col(name).isNotNull()).distinct().withColumn("key", name_key(F.col(name)))
     r = registry.groupBy("key").agg(F.min(F.struct("position", "slug")).alias("r")).select("key", "r.position", "r.slug")
@@ -202,8 +202,12 @@ def registry_lookup(names: DataFrame, registry: DataFrame, name: str = "company_
     grams = lambda k: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(k) - 2, F.lit(1))), lambda i: F.substring(k, i, F.lit(3))))
     missed = n.join(exact.select(name), name, "left_anti").where(F.length("key") >= least_chars)
     long_enough = r.where(F.length("key") >= least_chars).withColumnRenamed("key", "rkey")
-    inside = missed.withColumn("g", F.explode(grams(F.col("key")))).join(long_enough.withColumn("g", F.substring("rkey", 1, 3)), "g").where(F.contains("key", "rkey"))
-    around = missed.withColumn("g", F.substring("key", 1, 3)).join(long_enough.withColumn("g", F.explode(grams(F.col("rkey")))), "g").where(F.contains("rkey", "key"))
+    of_names, of_registry = missed.select(name, "key", F.explode(grams(F.col("key"))).alias("g")), long_enough.select("rkey", "position", "slug", F.explode(grams(F.col("rkey"))).alias("g"))
+    # the shorter key offers its rarest piece alone, counted over both sides
+    often = of_names.groupBy("g").agg(F.count("*").alias("c")).union(of_registry.groupBy("g").agg(F.count("*").alias("c"))).groupBy("g").agg(F.sum("c").alias("c"))
+    rarest = lambda rows, keep: rows.join(often, "g").groupBy(*keep).agg(F.min_by("g", F.struct("c", "g")).alias("g"))
+    inside = of_names.join(rarest(of_registry, ["rkey", "position", "slug"]), "g").where(F.contains("key", "rkey"))
+    around = rarest(of_names, [name, "key"]).join(of_registry, "g").where(F.contains("rkey", "key"))
     cols = [name, "position", "slug"]
     fuzzy = inside.select(*cols).union(around.select(*cols)).groupBy(name).agg(F.min(F.struct("position", "slug")).alias("b")).select(name, "b.slug", F.lit(False).alias("exact"))
     return exact.union(fuzzy)

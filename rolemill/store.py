@@ -25,10 +25,25 @@ def read_current(spark: SparkSession, root: str, schema=None) -> DataFrame | Non
     return None if v is None else spark.read.parquet(f"{root}/v{v}")
 
 
+def _claim(spark: SparkSession, root: str) -> int:
+    """A version number that no other writer has: a marker is made for it, which only one writer can do."""
+    v = current_version(spark, root) or 0
+    while True:
+        v += 1
+        p, fs, _ = _fs(spark, f"{root}/claim{v}")
+        try:
+            fs.create(p, False).close()
+            return v
+        except Exception:
+            if not fs.exists(p):
+                raise
+
+
 def publish(df: DataFrame, root: str, partition_by: list[str] | None = None) -> int:
-    """Write the next version, then publish it with an empty marker file: readers see the old or the new one, never a part."""
+    """Claim the next version, write it, then publish it with an empty marker file: readers see the old or the new one,
+    never a part, and two writers never write one version. A version whose writer was lost stays unpublished."""
     spark = df.sparkSession
-    v = (current_version(spark, root) or 0) + 1
+    v = _claim(spark, root)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{root}/v{v}")
     p, fs, _ = _fs(spark, f"{root}/published{v}")
@@ -39,6 +54,6 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None) ->
 def drop_old(spark: SparkSession, root: str, keep: int = 2) -> None:
     v = current_version(spark, root) or 0
     for k in range(1, v - keep + 1):
-        for name in (f"published{k}", f"v{k}"):
+        for name in (f"published{k}", f"v{k}", f"claim{k}"):
             p, fs, _ = _fs(spark, f"{root}/{name}")
             fs.delete(p, True)

@@ -25,31 +25,52 @@ def sessions(events: DataFrame, at: str, gap: str, late: str, *keys: str) -> Dat
     return events.withWatermark(at, late).groupBy(F.session_window(at, gap), *keys).agg(F.count("*").alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), *keys, "n")
 
 
+def _millis(span: str) -> int:
+    return int(pd.Timedelta(span).total_seconds() * 1000)
+
+
 _REACTIONS = "user_id string, job_id string, reaction string"
 
 
-def first_reactions_stream(feedback: DataFrame) -> DataFrame:
+def first_reactions_stream(feedback: DataFrame, keep: str = "90 days") -> DataFrame:
     """The first reaction of every user to every listing, as they arrive: one small state per pair.
 
+    A pair's state goes when nothing came for ``keep``; a later reaction to it counts as a first one here, and is sorted
+    out by the batch operator, which knows all of them.
+
     In a stream the first is the one that arrives first; the batch operator orders by recorded_at.
     """
 
+    ttl = _millis(keep)
+
     def once(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         seen = state.exists
         for pdf in chunks:
             if not seen and len(pdf):
                 seen = True
                 first = pdf.sort_values(["recorded_at", "feedback_id"]).iloc[0]
                 state.update((True,))
+                state.setTimeoutDuration(ttl)
                 yield pd.DataFrame({"user_id": [key[0]], "job_id": [key[1]], "reaction": [first["reaction"]]})
 
-    return feedback.groupBy("user_id", "job_id").applyInPandasWithState(once, _REACTIONS, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    return feedback.groupBy("user_id", "job_id").applyInPandasWithState(once, _REACTIONS, "seen boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+
 
+def changed_versions(listings: DataFrame, key: str = "job_id", version: str = "content_hash", keep: str = "90 days") -> DataFrame:
+    """Rows whose version differs from the last one seen for their key: a change ledger kept as state.
 
-def changed_versions(listings: DataFrame, key: str = "job_id", version: str = "content_hash") -> DataFrame:
-    """Rows whose version differs from the last one seen for their key: a change ledger kept as state."""
+    A key that didn't come for ``keep`` is forgotten; when it comes back it is emitted once more, as a receiver of
+    upserts can bear. ``sync.to_ship`` against the ledger is exact for any age.
+    """
+    ttl = _millis(keep)
 
     def differs(k: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         known = state.exists
         for pdf in chunks:
@@ -59,8 +80,9 @@ def changed_versions(listings: DataFrame, key: str = "job_id", version: str = "c
                     known, last = True, v
                     yield pd.DataFrame({key: [k[0]], version: [v]})
         state.update((last,))
+        state.setTimeoutDuration(ttl)
 
-    return listings.groupBy(key).applyInPandasWithState(differs, f"{key} string, {version} string", "last string", "append", GroupStateTimeout.NoTimeout)
+    return listings.groupBy(key).applyInPandasWithState(differs, f"{key} string, {version} string", "last string", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def snapshot_stream(source: DataFrame, root: str, step: Callable[[DataFrame | None, DataFrame], DataFrame], checkpoint: str):

@@ -78,3 +78,26 @@ def test_pipeline_runs_twice(spark, data, tmp_path):
     assert first.jobs_version == 1 and again.jobs_version == 2
     assert first.failures or again.shipped == 0
     assert read_current(spark, f"{root}/jobs").count() == 100
+
+
+def test_pipeline_records_only_what_was_delivered(spark, data, tmp_path):
+    jobs = spark.read.parquet(f"{data}/jobs.parquet")
+    good = jobs.where("embedding is not null and embedded_at is not null and length(job_description) >= 200 and size(required_skills) > 0").limit(30)
+    now = F.lit("2026-06-30 00:00:00").cast("timestamp_ntz")
+    root = str(tmp_path / "w")
+    refused = sorted(r.job_id for r in good.where("status = 'active'").select("job_id").collect())[0]
+    send = lambda: lambda batch: 422 if any(r["job_id"] == refused for r in batch) else 200
+    first = pipeline.run(spark, good, root, now, send=send)
+    assert not first.failures and first.refused == 1 and first.shipped > 0
+    ledger = {r.job_id for r in read_current(spark, f"{root}/ledger").collect()}
+    assert refused not in ledger and len(ledger) == first.shipped
+    again = pipeline.run(spark, good, root, now, send=lambda: lambda batch: 200)
+    assert again.shipped == 1 and refused in {r.job_id for r in read_current(spark, f"{root}/ledger").collect()}
+
+
+def test_two_writers_never_write_one_version(spark, tmp_path):
+    from rolemill import store
+
+    root = str(tmp_path / "t")
+    taken = store._claim(spark, root)
+    assert store.publish(spark.range(3).toDF("n"), root) == taken + 1 and store.read_current(spark, root).count() == 3
