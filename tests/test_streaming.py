@@ -34,6 +34,15 @@ def test_changed_versions(spark, tmp_path):
     assert sorted((r.job_id, r.content_hash or "") for r in got.collect()) == [("a", "1"), ("a", "3"), ("b", ""), ("b", "2")]
 
 
+def test_forgotten_keys_come_once_more(spark, tmp_path):
+    src, schema = str(tmp_path / "in"), "job_id string, content_hash string, at timestamp"
+    for rows in ([("a", "1", dt.datetime(2026, 1, 1))], [("b", "1", dt.datetime(2026, 6, 1))], [("b", "1", dt.datetime(2026, 6, 2))], [("a", "1", dt.datetime(2026, 6, 3)), ("b", "1", dt.datetime(2026, 6, 3))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    got = drain(streams.changed_versions(stream, at="at", keep="30 days"), spark, "forgotten")
+    assert sorted((r.job_id, r.content_hash) for r in got.collect()) == [("a", "1"), ("a", "1"), ("b", "1")]
+
+
 def test_windows_equal_batch(spark, data, tmp_path):
     e = spark.read.parquet(f"{data}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     src = str(tmp_path / "in")
