@@ -3,9 +3,11 @@
 Method: metric-space partitioning. A name is reduced to its two distinctive words (decoration, legal form, line of
 business and place are set apart); the distance of two names is the true Damerau-Levenshtein distance of their words
 under the better of both orders, which is a metric on unordered pairs. Pivots are drawn from the names; every name
-belongs to the cell of its nearest pivot and is copied to the cells whose border it is close enough to for the triangle
-inequality to leave a partner possible: d(x, p) <= d(x, nearest) + 2 r. Exact radius joins run within the cells, so no
-pair within the radius is missed, and no cell holds more than a bounded share of the names. All distinctive words count;
+belongs to the cell of its nearest pivot and is copied to the cells where the triangle inequality leaves a partner
+possible: d(x, p) <= d(x, nearest) + 2 r, and, for every other pivot q, d(x, q) within r of the range that the cell's own
+names have from q. The second rule leaves a few copies of a name; the first alone, in a space of so many dimensions, a
+third of all cells. Exact radius joins run within the cells, so no pair within the radius is missed, and no cell holds
+more than a bounded share of the names. All distinctive words count;
 pairs with more than 64 letters have cells by length in place of pivots.
 
 Beyond typing errors, a name can stand for a company in ways that no radius covers; these are links by equality:
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rolemill.llm.components import connected_components
-from rolemill.session import materialize
+from rolemill.session import materialize, release
 
 # Words of company names that don't tell companies apart.
 LEGAL = frozenset("inc incorporated llc ltd limited gmbh ag plc co company corp corporation sa bv oy ab kg pty intl international holding holdings".split())
@@ -52,6 +54,8 @@ MAX_WORDS = 2
 #: Pairs of words with more letters meet by their length, as distances to pivots would be slow.
 LONG_NAME, LENGTHS = 64, 8
 PAIRS_PER_TASK = 200_000
+#: Cells of a pivot, and how many of the pivots filter cells: the ranges take at most 4,096 x SPLITS x FILTERS x 2 bytes.
+SPLITS, FILTERS = 32, 192
 
 
 def _abbreviates(short: str, word: str) -> bool:
@@ -248,19 +252,60 @@ def _cell_pairs(radius: int):
     return run
 
 
+def _bytes(rows: np.ndarray) -> pa.Array:
+    return pa.array([r.tobytes() for r in np.ascontiguousarray(rows)], pa.binary())
+
+
+def _rows(col: pa.Array, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(col.to_pylist()), np.uint8).reshape(-1, width)
+
+
+def cell_of(far: np.ndarray) -> np.ndarray:
+    """The home of every name: its nearest pivot, and which of SPLITS groups the next one belongs to."""
+    near = far.argmin(axis=1)
+    rest = far.copy()
+    rest[np.arange(len(far)), near] = 255
+    return near * SPLITS + rest.argmin(axis=1) % SPLITS
+
+
+def visited_cells(far: np.ndarray, low: np.ndarray, high: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """(name, cell): the cells that may hold a partner within the radius of a name.
+
+    far: names x pivots; low, high: cells x filters, the least and the largest distance of a cell's own names from each of
+    the first pivots. By the triangle inequality a partner's distance from a pivot differs by the radius at most, so a cell
+    whose range excludes that for any of them is not visited; nor are those of a pivot that is further than the nearest by
+    more than twice the radius.
+    """
+    reach = far.astype(np.int16)
+    name, pivot = np.nonzero(reach <= reach.min(axis=1, keepdims=True) + 2 * radius)
+    name, cell = np.repeat(name, SPLITS), (pivot[:, None] * SPLITS + np.arange(SPLITS)[None]).ravel()
+    held = (low <= high).all(axis=1)[cell]
+    name, cell = name[held], cell[held]
+    floor, ceiling = low.astype(np.int16) - radius, high.astype(np.int16) + radius
+    # the filters in pieces: most cells are out after the first of them
+    for start in range(0, low.shape[1], 8):
+        d, piece = reach[name, start : start + 8][:, : low.shape[1] - start], slice(start, start + 8)
+        ok = ((d >= floor[cell, piece]) & (d <= ceiling[cell, piece])).all(axis=1)
+        name, cell = name[ok], cell[ok]
+    return name, cell
+
+
 def radius_pairs(pairs: DataFrame, radius: int, pivots: int | None = None, home_rows: int = 2048) -> DataFrame:
     """(a, b, c, d, distance): the word pairs (a, b) and (c, d) within the radius, each couple at least once.
 
     pairs has columns a, b and must be distinct and materialized. Pivots are a bounded sample (at most 4,096) that is
-    broadcast; the cells of a pivot with many names of its own are cut by home name.
+    broadcast, as are the ranges of the cells (see SPLITS). A name is kept with its distances from
+    all pivots, which say where it is home, and which other cells may hold a partner (``visited_cells``). The cells of a
+    pivot with many names of its own are cut by home name.
     """
     spark, n = pairs.sparkSession, pairs.count()
     wanted = pivots or int(min(4096, max(4, 4 * n**0.5)))
     size = F.length("a") + F.length("b")
     chosen = pairs.where(size <= LONG_NAME).orderBy(F.xxhash64("a", "b"), "a", "b").limit(wanted).collect()
-    model = spark.sparkContext.broadcast([(r["a"], r["b"]) for r in chosen])
+    model, width = spark.sparkContext.broadcast([(r["a"], r["b"]) for r in chosen]), len(chosen)
+    filters = min(width, FILTERS)
 
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 2048):
                 b = whole.slice(start, 2048)
@@ -269,27 +314,57 @@ def radius_pairs(pairs: DataFrame, radius: int, pivots: int | None = None, home_
                 at = {w: k for k, w in enumerate(words)}
                 ix, iy = np.array([at[w] for w in x]), np.array([at[w] for w in y])
                 seen: dict[str, np.ndarray] = {}
-                far = np.empty((len(model.value), len(x)), np.int32)
+                far = np.empty((len(x), width), np.uint8)
                 for k, (p, q) in enumerate(model.value):
                     for w in (p, q):
                         if w not in seen:
                             seen[w] = distances(words, w)
                     dp, dq = seen[p], seen[q]
-                    far[k] = np.minimum(dp[ix] + dq[iy], dq[ix] + dp[iy])
-                near = far.argmin(axis=0)
-                cell, row = np.nonzero(far <= far.min(axis=0) + 2 * radius)
-                yield pa.record_batch([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array((near[row] == cell).astype(np.int32))], names=["a", "b", "cell", "home"])
+                    far[:, k] = np.minimum(dp[ix] + dq[iy], dq[ix] + dp[iy])
+                yield pa.record_batch([b.column(0), b.column(1), pa.array(cell_of(far).astype(np.int32)), _bytes(far)], names=["a", "b", "mine", "far"])
 
     # the work is names x pivots: an even share for every task
     tasks = max(spark.sparkContext.defaultParallelism, -(-n * wanted // PAIRS_PER_TASK))
-    placed = pairs.where(size <= LONG_NAME).select("a", "b").repartition(tasks, "a", "b").mapInArrow(cells, "a string, b string, cell int, home int")
+    measured = materialize(pairs.where(size <= LONG_NAME).select("a", "b").repartition(tasks, "a", "b").mapInArrow(measure, "a string, b string, mine int, far binary"), "measured")
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = np.full((width * SPLITS, filters), 255, np.uint8), np.zeros((width * SPLITS, filters), np.uint8)
+        for b in batches:
+            if b.num_rows:
+                mine, far = b.column(0).to_numpy(), _rows(b.column(1), width)[:, :filters]
+                np.minimum.at(low, mine, far)
+                np.maximum.at(high, mine, far)
+        some = np.flatnonzero((low <= high).all(axis=1))
+        yield pa.record_batch([pa.array(some.astype(np.int32)), _bytes(low[some]), _bytes(high[some])], names=["mine", "low", "high"])
+
+    def joined(table: pa.Table) -> pa.Table:
+        low, high = (_rows(table.column(c).combine_chunks(), filters) for c in ("low", "high"))
+        return pa.table({"mine": table.column("mine").slice(0, 1), "low": _bytes(low.min(axis=0)[None]), "high": _bytes(high.max(axis=0)[None])})
+
+    kind = "mine int, low binary, high binary"
+    found = measured.select("mine", "far").mapInArrow(ranges, kind).groupBy("mine").applyInArrow(joined, kind).collect() if width else []  # one row a cell
+    low, high = np.full((width * SPLITS, filters), 255, np.uint8), np.zeros((width * SPLITS, filters), np.uint8)
+    for r in found:
+        low[r["mine"]], high[r["mine"]] = np.frombuffer(r["low"], np.uint8), np.frombuffer(r["high"], np.uint8)
+    table = spark.sparkContext.broadcast((low, high))
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                b = whole.slice(start, 1024)
+                mine = b.column(2).to_numpy()
+                row, cell = visited_cells(_rows(b.column(3), width), *table.value, radius)
+                yield pa.record_batch([b.column(0).take(pa.array(row)), b.column(1).take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array((mine[row] == cell).astype(np.int32))], names=["a", "b", "cell", "home"])
+
+    placed = measured.mapInArrow(cells, "a string, b string, cell int, home int")
     # lengths differ by the radius at most: a long pair visits the cells of all lengths that its partners can have
     at = lambda c: (-1 - F.floor(c / LENGTHS)).cast("int")
     spots = F.array_distinct(F.transform(F.sequence(size - radius, size + radius), at))
     long = pairs.where(size > LONG_NAME - radius).select("a", "b", F.explode(spots).alias("cell"))
     placed = placed.union(long.withColumn("home", ((F.col("cell") == at(size)) & (size > LONG_NAME)).cast("int")))
     placed = materialize(placed, "cells")  # read twice
-    sizes = placed.groupBy("cell").agg(F.sum("home").alias("h")).collect()  # one row a pivot
+    release(measured)
+    sizes = placed.groupBy("cell").agg(F.sum("home").alias("h")).collect()  # one row a cell
     grid = spark.createDataFrame([(r["cell"], max(1, -(-r["h"] // home_rows))) for r in sizes] or [(0, 1)], "cell int, parts int")
     part = F.pmod(F.xxhash64("a", "b"), F.col("parts")).cast("int")
     # a name is home in one part of its cell and a visitor in the others
