@@ -8,9 +8,16 @@ the vector (the part that moves large inner products) more than the rest; the we
 counts. A query's lookup tables are added up over the codes, two at a byte, and whatever may reach the threshold goes
 to an exact rerank with the vectors themselves, in the same task.
 
-A query visits its ``probes`` nearest cells. A cell with more than ``cell_rows`` rows, as when a third of all vectors
-are close together, is cut into parts that are scanned by separate tasks; its queries visit all of them, so nothing is
-dropped. A query has at most k rows from each part it visited, and the last step keeps the k best.
+The scan loses nothing: a code's error is known when it is made. With x' the coded vector, p the part of x - x' along x
+and o the length of the rest, a query whose cosine with x is at least s scores at least s (1 - p) - sqrt(1 - s^2) o by the
+code, so what scores less is ruled out for certain, and everything else is reranked exactly.
+
+A query visits its nearest cells. How many is measured on the sample: as many as find ``coverage`` of the sample's own
+neighbours (at most ``most_probes``). A cell with more than ``cell_rows`` rows, as when a third of all vectors are close
+together, is cut into parts that are scanned by separate tasks; its queries visit all of them, so nothing is dropped. A
+query has at most k rows from each part it visited, and the last step keeps the k best.
+
+Vectors travel under numbers in the order of their keys, so that ties go to the smaller key without long keys on the way.
 
 The cells are fitted on at most ``sample`` vectors and the codebooks on at most 8,192 of them, both drawn by a hash of
 the id: documented bounds; the recall is measured against brute force (README). Ties in similarity go to the smaller key. Unusable vectors (null, of another size, not finite, all zero) are
@@ -32,6 +39,9 @@ from rolemill.session import materialize
 
 SAMPLE = 20_000
 BOOK_SAMPLE = 8_192
+PROBE_SAMPLE = 2_000
+#: More weight on the parallel residual than this makes the bound worse, as the rest grows.
+MOST_WEIGHT = 8.0
 CELL_ROWS = 6_000
 SUB, WORDS = 2, 16
 
@@ -79,9 +89,9 @@ def merge_cells(centers: np.ndarray, least: float) -> np.ndarray:
 
 
 def anisotropic_weight(threshold: float, dim: int) -> float:
-    """How much more a unit of parallel residual costs than one of orthogonal residual."""
+    """How much more a unit of parallel residual costs than one of orthogonal residual (at most MOST_WEIGHT)."""
     t2 = min(threshold, 0.999) ** 2
-    return max(1.0, (dim - 1) * t2 / (1 - t2))
+    return min(MOST_WEIGHT, max(1.0, (dim - 1) * t2 / (1 - t2)))
 
 
 def _costs(part: np.ndarray, words: np.ndarray, rest: np.ndarray, eta: float) -> np.ndarray:
@@ -142,47 +152,75 @@ def _pair_tables(q: np.ndarray, books: np.ndarray) -> np.ndarray:
     return (one[:, 0::2, :, None] + one[:, 1::2, None, :]).reshape(len(q), parts // 2, WORDS * WORDS)
 
 
-def _scan(members: dict, queries: dict, k: int, least: float, slack: float, books: np.ndarray, eta: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def score_bound(x: np.ndarray, codes: np.ndarray, books: np.ndarray, least: float) -> np.ndarray:
+    """What the code of each vector scores at least with a query whose cosine with the vector is ``least`` or more."""
+    coded = np.stack([books[m][codes[:, m]] for m in range(books.shape[0])], axis=1).reshape(x.shape)
+    rest = x.astype(np.float64) - coded
+    along = np.einsum("nd,nd->n", rest, x)
+    across = np.sqrt(np.maximum(0.0, np.einsum("nd,nd->n", rest, rest) - along**2))
+    return least * (1 - along) - np.sqrt(1 - min(1.0, least) ** 2) * across - 1e-4
+
+
+def _scan(members: dict, queries: dict, k: int, least: float, books: np.ndarray, eta: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(query, answer, similarity) index arrays: the k best of the members at or above ``least`` for every query."""
-    codes = encode(members["x"], books, eta)
+    x = members["x"]
+    codes = encode(x, books, eta)
+    need = score_bound(x, codes, books, least).astype(np.float32)
     packed = (codes[:, 0::2].astype(np.int64) * WORDS + codes[:, 1::2]).T.copy()
-    mid, qid, out = members["id"], queries["id"], []
+    mid, qid, wide, out = members["id"], queries["id"], None, []
     for start in range(0, len(qid), 256):
         q = queries["x"][start : start + 256]
         tables = _pair_tables(q, books)
         score = np.zeros((len(q), packed.shape[1]), np.float32)
         for m in range(packed.shape[0]):
             score += np.take(tables[:, m], packed[m], axis=1)
-        score[qid[start : start + 256, None] == mid[None]] = -2
-        row, col = np.nonzero(score >= least - slack)
+        may = (score >= need[None]) & (qid[start : start + 256, None] != mid[None])
+        if may.mean() > 0.02:
+            # so many are reranked at once
+            wide = x.astype(np.float64) if wide is None else wide
+            exact = np.where(may, np.round(q.astype(np.float64) @ wide.T, 12), -2.0)
+            floor = np.partition(exact, -k, axis=1)[:, -k] if exact.shape[1] > k else np.full(len(q), -2.0)
+            row, col = np.nonzero(exact >= np.maximum(floor, least - 1e-6)[:, None])
+            exact = exact[row, col]
+        else:
+            row, col = np.nonzero(may)
+            exact = np.round(np.einsum("nd,nd->n", q[row].astype(np.float64), x[col].astype(np.float64)), 12)
+            ok = exact >= least - 1e-6
+            row, col, exact = row[ok], col[ok], exact[ok]
         if not len(row):
             continue
-        # a query with very many candidates keeps those whose score leaves them a chance for the k best
-        count = np.bincount(row, minlength=len(q))
-        if count.max() > 8 * k:
-            cut = np.full(len(q), -3, np.float32)
-            for i in np.flatnonzero(count > 8 * k):
-                cut[i] = np.partition(score[i], -k)[-k] - 2 * slack
-            keep = score[row, col] >= cut[row]
-            row, col = row[keep], col[keep]
-        exact = np.einsum("nd,nd->n", q[row].astype(np.float64), members["x"][col].astype(np.float64))
-        ok = exact >= least - 1e-6
-        row, col, exact = row[ok], col[ok], exact[ok]
         order = np.lexsort((col, -exact, row))
         row, col, exact = row[order], col[order], exact[order]
-        first = np.concatenate([[True], row[1:] != row[:-1]]) if len(row) else np.empty(0, bool)
-        rank = np.arange(len(row)) - np.maximum.accumulate(np.where(first, np.arange(len(row)), 0)) if len(row) else row
+        first = np.concatenate([[True], row[1:] != row[:-1]])
+        rank = np.arange(len(row)) - np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
         # members come sorted by key, so equal similarities are in the order of the keys
         top = rank < k
         out.append((row[top] + start, col[top], exact[top]))
     return out
 
 
-def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: float, probes: int = 3, sample: int = SAMPLE, cell_rows: int = CELL_ROWS, slack: float = 0.12) -> DataFrame:
-    """(a, b, rank, similarity): for every usable row a its k most similar rows b, as far as similarity >= least.
-
-    similarity is the cosine of the vectors as stored, in double precision up to float rounding of the scaled vectors.
-    """
+def needed_probes(fit: np.ndarray, centers: np.ndarray, k: int, least: float, coverage: float, most: int) -> int:
+    """The number of nearest cells in which ``coverage`` of the sample's k nearest neighbours are at home; 3 at least."""
+    home = np.concatenate([np.argmax(fit[i : i + 4096] @ centers.T, axis=1) for i in range(0, len(fit), 4096)])
+    ranks = []
+    for start in range(0, min(PROBE_SAMPLE, len(fit)), 256):
+        q = fit[start : min(start + 256, PROBE_SAMPLE)]
+        sim = q @ fit.T
+        sim[np.arange(len(q)), start + np.arange(len(q))] = -2
+        few = min(k, len(fit) - 1)
+        if few < 1:
+            break
+        near = np.argpartition(-sim, few - 1, axis=1)[:, :few]
+        row, col = np.nonzero(np.take_along_axis(sim, near, axis=1) >= least)
+        to = q @ centers.T
+        ranks.append((to[row] > to[row, home[near[row, col]]][:, None]).sum(axis=1) + 1)
+    found = np.concatenate(ranks) if ranks else np.empty(0, np.int64)
+    return int(min(most, len(centers), max(3, np.quantile(found, coverage, method="higher") if len(found) else 3)))
+
+
+def nearest_numbers(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: float, coverage: float = 0.9995, most_probes: int = 16, sample: int = SAMPLE, cell_rows: int = CELL_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(a, b, rank, similarity) by number, and (number, id): what ``nearest`` gives, before ids are put in. Numbers are in
+    the order of the ids."""
     spark = df.sparkSession
     source = df.where(usable(vec_col, dim)).select(F.col(id_col).cast("string").alias("id"), F.col(vec_col).cast("array<float>").alias("x"))
 
@@ -192,17 +230,20 @@ def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: f
                 u = _unit(_vectors(b.column(1)))
                 yield pa.record_batch([b.column(0), pa.array([r.tobytes() for r in u], pa.binary())], names=["id", "x"])
 
-    units = materialize(source.mapInArrow(scale, "id string, x binary"), "units")
+    ordered = source.mapInArrow(scale, "id string, x binary").repartitionByRange("id").sortWithinPartitions("id")
+    units = materialize(ordered.withColumn("n", F.monotonically_increasing_id()), "units")
+    names = units.select(F.col("n").alias("number"), "id")
     n = units.count()
     # the filter leaves fewer than 2 * sample rows; what is cut then, here and for the books, is cut by another hash of the id
     some = units.where(F.pmod(F.xxhash64("id"), F.lit(max(1, n // sample))) == 0).orderBy(F.xxhash64("id", F.lit(2)), "id").limit(sample).select("x").toArrow()
     fit = np.frombuffer(b"".join(some.column("x").to_pylist()), np.float32).reshape(-1, dim).copy()
     if not len(fit):
-        return spark.createDataFrame([], "a string, b string, rank int, similarity double")
+        return spark.createDataFrame([], "a bigint, b bigint, rank int, similarity double"), names
     cells = int(max(1, min(2048, round(n**0.5), len(fit) // 8)))
     centers = merge_cells(fit_cells(fit, cells), least)
     eta = anisotropic_weight(least, dim)
     books = fit_books(fit[:BOOK_SAMPLE], eta)
+    probes = needed_probes(fit, centers, k, least, coverage, most_probes)
     # model: at most 2048 x dim + 512 x dim numbers
     model = spark.sparkContext.broadcast((centers, books))
 
@@ -220,7 +261,7 @@ def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: f
             rows = pa.array(np.repeat(np.arange(b.num_rows), take))
             yield pa.record_batch([b.column(0).take(rows), b.column(1).take(rows), pa.array(best.ravel().astype(np.int32)), pa.array(home.ravel())], names=["id", "x", "cell", "home"])
 
-    visits = units.mapInArrow(visit, "id string, x binary, cell int, home boolean")
+    visits = units.select(F.col("n").alias("id"), "x").mapInArrow(visit, "id bigint, x binary, cell int, home boolean")
     # at most 2048 rows; a hot cell is a grid of member parts and query parts, so both sides of a task are bounded
     sizes = visits.groupBy("cell").agg(F.count_if("home").alias("held"), F.count("*").alias("visits")).collect()
     grid = [(r["cell"], max(1, -(-r["held"] // cell_rows)), max(1, -(-r["visits"] // (4 * cell_rows)))) for r in sizes]
@@ -236,20 +277,29 @@ def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: f
         role = np.asarray(table.column("role"))
         table = table.take(pa.array(np.lexsort((np.arange(len(role)), -role))))
         role = np.asarray(table.column("role"))
-        names = table.column("id").combine_chunks()
-        names = names if not isinstance(names, pa.ChunkedArray) else pa.concat_arrays(names.chunks)
+        key = np.asarray(table.column("id"))
         x = np.frombuffer(b"".join(table.column("x").to_pylist()), np.float32).reshape(len(role), dim)
         split = int((role == 1).sum())
-        if not split or split == len(role):
-            return pa.table({"a": pa.array([], pa.string()), "b": pa.array([], pa.string()), "similarity": pa.array([], pa.float64())})
-        order = np.asarray(pa.compute.sort_indices(names.slice(0, split)))
-        key = np.asarray(names.dictionary_encode().indices)
-        got = _scan({"id": key[:split][order], "x": x[:split][order]}, {"id": key[split:], "x": x[split:]}, k, least, slack, b, eta)
-        if not got:
-            return pa.table({"a": pa.array([], pa.string()), "b": pa.array([], pa.string()), "similarity": pa.array([], pa.float64())})
-        row, col, sim = (np.concatenate(z) for z in zip(*got))
-        return pa.table({"a": names.slice(split).take(pa.array(row)), "b": names.slice(0, split).take(pa.array(order[col])), "similarity": pa.array(sim)})
-
-    local = rows.groupBy("cell", "m_part", "q_part").applyInArrow(scan, "a string, b string, similarity double")
+        order = np.argsort(key[:split], kind="stable")
+        got = _scan({"id": key[:split][order], "x": x[:split][order]}, {"id": key[split:], "x": x[split:]}, k, least, b, eta) if 0 < split < len(role) else []
+        row, col, sim = (np.concatenate(z) for z in zip(*got)) if got else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        return pa.table({"a": pa.array(key[split:][row], pa.int64()), "b": pa.array(key[:split][order[col]], pa.int64()), "similarity": pa.array(sim, pa.float64())})
+
+    local = rows.groupBy("cell", "m_part", "q_part").applyInArrow(scan, "a bigint, b bigint, similarity double")
     ranked = local.withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("similarity"), "b")))
-    return ranked.where((F.col("rank") <= k) & (F.col("similarity") >= least)).select("a", "b", "rank", "similarity")
+    return ranked.where((F.col("rank") <= k) & (F.col("similarity") >= least)).select("a", "b", "rank", "similarity"), names
+
+
+def named(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """The ids of the numbers a and b put in."""
+    of = lambda end: names.select(F.col("number").alias(end), F.col("id").alias(f"id_{end}"))
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
+    return pairs.join(of("a"), "a").join(of("b"), "b").select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), *rest)
+
+
+def nearest(df: DataFrame, id_col: str, vec_col: str, dim: int, k: int, least: float, **more) -> DataFrame:
+    """(a, b, rank, similarity): for every usable row a its k most similar rows b, as far as similarity >= least.
+
+    similarity is the cosine of the vectors as stored, in double precision up to float rounding of the scaled vectors.
+    """
+    return named(*nearest_numbers(df, id_col, vec_col, dim, k, least, **more))

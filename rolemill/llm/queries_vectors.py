@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolemill.llm.knn import nearest
+from rolemill.llm.knn import named, nearest, nearest_numbers
 from rolemill.session import load
 
 DIM, K, LEAST = 64, 5, 0.9
@@ -16,8 +16,9 @@ def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = p5_neighbours(spark, sf_dir)
-    return near.select(F.least("a", "b").alias("job_a"), F.greatest("a", "b").alias("job_b")).distinct()
+    near, names = nearest_numbers(load(spark, sf_dir, "jobs"), "job_id", "embedding", DIM, K, LEAST)
+    pairs = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return named(pairs, names).select(F.col("a").alias("job_a"), F.col("b").alias("job_b"))
 
 
 QUERIES = {"p5_found": p5_found, "p5_neighbours": p5_neighbours}
