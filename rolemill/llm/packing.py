@@ -9,7 +9,8 @@ Sizes are whole numbers of at most ``capacity``, so the sweep's whole state is t
 of equal containers. The supersteps therefore run over these classes (at most ``capacity`` sizes, whatever the number of
 items) on the driver, and their result is a table of rank intervals. The data itself is touched twice, by the count of
 the sizes and by the placement of the ranked items through that table, both in salted groups: a size that holds a third
-of all rows is spread over many tasks. The number of intervals is about the number of sizes times the items a container
+of all rows is spread over many tasks, and where its groups begin is a window over their counts; the driver sees a row for
+every size alone. The number of intervals is about the number of sizes times the items a container
 holds; it's checked before the table is broadcast, and beyond the bound it is joined by size through a shuffle.
 
 Null or negative sizes count as 0. An item of size 0 takes no space and goes to container 0. An item larger than the
@@ -107,23 +108,26 @@ def pack(df: DataFrame, id_col: str, size_col: str, capacity: int = 2048, rows_p
     salts = max(1, -(-n[0] // rows_per_group))
     n_full = n[1] or 0
     items = items.withColumn("_salt", F.pmod(F.xxhash64("_key", "_row"), F.lit(salts)))
-    # at most capacity x salts counts, with a salt to every rows_per_group rows
-    counts = items.groupBy("_rest", "_salt").agg(F.count("*").alias("c"), F.sum("_full").alias("f")).collect()
-    classes: dict[int, int] = {}
-    before, wide, at = [], [], 0
-    for r in sorted(counts, key=lambda r: (r["_rest"], r["_salt"])):
-        before.append((r["_rest"], r["_salt"], classes.get(r["_rest"], 0), at))
-        classes[r["_rest"]] = classes.get(r["_rest"], 0) + r["c"]
-        at += r["f"]
+    counts = materialize(items.groupBy("_rest", "_salt").agg(F.count("*").alias("c"), F.sum("_full").alias("f")), "pack-counts")
+    # a row for every size: at most capacity + 1
+    classes = {r["_rest"]: r["c"] for r in counts.groupBy("_rest").agg(F.sum("c").alias("c")).collect()}
     intervals, _ = plan_best_fit(classes, capacity, n_full)
-    offsets = spark.createDataFrame(before, "_rest bigint, _salt bigint, _before bigint, _full_before bigint")
+    # where every group begins: among the items of its size, and among the full pieces, salt by salt and there size by size
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    none = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
+    salted = counts.groupBy("_salt").agg(F.sum("f").alias("f"))  # a row for every rows_per_group items
+    salted = salted.select("_salt", none(F.sum("f").over(earlier(Window.orderBy("_salt")))).alias("_salt_before"))
+    offsets = counts.join(salted, "_salt").select(
+        "_rest", "_salt", none(F.sum("c").over(earlier(Window.partitionBy("_rest").orderBy("_salt")))).alias("_before"),
+        (F.col("_salt_before") + none(F.sum("f").over(earlier(Window.partitionBy("_salt").orderBy("_rest"))))).alias("_full_before"),
+    )
     by_class = Window.partitionBy("_rest", "_salt").orderBy("_key", "_row")
     ranked = items.withColumns(
         {
             "_in": F.row_number().over(by_class) - 1,
             "_fulls": F.sum("_full").over(by_class.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_full"),
         }
-    ).join(F.broadcast(offsets) if len(before) <= BROADCAST_INTERVALS else offsets, ["_rest", "_salt"])
+    ).join(offsets, ["_rest", "_salt"])
     ranked = ranked.select("_key", "_n", "_full", "_rest", (F.col("_before") + F.col("_in")).alias("_rank"), (F.col("_full_before") + F.col("_fulls")).alias("_first_full"))
     table = spark.createDataFrame(intervals or [(-1, 0, 0, 0, 1, 0)], "_rest bigint, _from bigint, _items bigint, _first bigint, _each bigint, _gap bigint")
     per_size = table.groupBy("_rest").agg(F.array_sort(F.collect_list(F.struct("_from", "_items", "_first", "_each"))).alias("_runs"))
