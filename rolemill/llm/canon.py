@@ -34,6 +34,8 @@ _LONG: dict[str, list[str]] = {}
 for _short, _long in SHORT.items():
     _LONG.setdefault(_long, []).append(_short)
 _QUALIFIERS = sorted(QUALIFIERS, key=lambda q: (-len(q), q))
+#: Entries of the reference list; checked before anything of it is collected or broadcast.
+MAX_TERMS = 100_000
 MAX_KEYS = 2_000_000
 NO_TERM = 0
 _ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
@@ -176,6 +178,8 @@ class Dictionary:
 
 def map_values(values: DataFrame, terms: DataFrame, value_col: str = "raw_value", field_col: str = "field", synonyms: dict[str, dict[str, str]] | None = None) -> DataFrame:
     """The rows of ``values`` with term_id added; terms has term_id, field and term and is small (its size is checked)."""
+    if terms.count() > MAX_TERMS:
+        raise ValueError("the reference list is too large to broadcast its dictionary")
     known = values.join(F.broadcast(terms.select("term_id", F.col("field").alias(field_col), "term")), [field_col]).where(F.lower(F.trim(value_col)) == F.col("term"))
     frequency = {r["term_id"]: r["n"] for r in known.groupBy("term_id").agg(F.count("*").alias("n")).collect()}
     by_field: dict[str, list[tuple[int, str]]] = defaultdict(list)
