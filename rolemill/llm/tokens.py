@@ -5,7 +5,8 @@ encoded once for the whole corpus, and the ids are joined back and put together
 shuffle small:
 
 * positions are kept per chunk of documents as codes into the chunk's own word list, so a chunk ships one row per
-  distinct word instead of one per occurrence, and a word that makes up a third of the corpus is one row per chunk;
+  distinct word instead of one per occurrence, and a word that makes up a third of the corpus is one row per chunk
+  (and meets those of 2^SALT_BITS input partitions in one task, so it is encoded once for each such group);
 * the codes of a chunk travel as one compressed block through the same two exchanges.
 
 A chunk is about ``CHUNK_CHARS`` characters of text (one longer document is a chunk of its own), so the memory of a
@@ -64,6 +65,7 @@ class _Codes(dict):
         return code
 
 
+SALT_BITS = 8
 _FLAT = pa.schema([("chunk", pa.int64()), ("code", pa.int32()), ("word", pa.binary()), ("block", pa.binary())])
 
 
@@ -181,7 +183,7 @@ def _encoded(df: DataFrame, id_col: str, text_col: str, tokenizer: str, count_on
         _split(as_text, chunk_chars), "chunk bigint, code int, word binary, block binary"
     )
     coded = (
-        words.repartition(F.coalesce(F.xxhash64("word"), F.lit(0)) + F.when(F.col("word").isNull(), F.xxhash64("chunk")).otherwise(0))
+        words.repartition(F.when(F.col("word").isNull(), F.xxhash64("chunk")).otherwise(F.xxhash64("word", F.shiftright("chunk", 32 + SALT_BITS))))
         .sortWithinPartitions("word")
         .mapInArrow(_encode_words(tokenizer), "chunk bigint, code int, ids binary, block binary")
     )
