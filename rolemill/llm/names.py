@@ -53,7 +53,7 @@ ALIAS = re.compile(r"\s*[-–—,(]?\s*\b(?:d/b/a|dba|doing business as|also kno
 MAX_WORDS = 2
 #: Pairs of words with more letters meet by their length, as distances to pivots would be slow.
 LONG_NAME, LENGTHS = 64, 8
-PAIRS_PER_TASK = 200_000
+PAIRS_PER_TASK = 600_000
 #: Cells of a pivot, and how many of the pivots filter cells: the ranges take at most 4,096 x SPLITS x FILTERS x 2 bytes.
 SPLITS, FILTERS = 32, 192
 
