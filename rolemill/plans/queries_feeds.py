@@ -60,7 +60,7 @@ def feed_html_rows(spark, d):
     return parsers.html_tables(pages).select("job_id", "company_name", "role_title", F.nullif("location_raw", F.lit("")).alias("location_raw"), "primary_url", "date_posted_raw")
 
 
-@query(f"SELECT {_COLS}, first_at AS posted_at FROM {_one()}")
+@query(f"SELECT {_COLS}, date_trunc('milliseconds', first_at) AS posted_at FROM {_one()}")
 def feed_next_rows(spark, d):
     c = F.col
     item = F.struct(F.struct(c("role_title").alias("jobTitle"), c("location_raw").alias("jobLocation"), F.unix_millis(c("at").cast("timestamp")).alias("publishTime"), c("primary_url").alias("applyLink")).alias("jobResult"), F.struct(c("company_name").alias("companyName")).alias("companyResult"))
