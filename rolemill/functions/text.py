@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import functools
+import itertools
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -114,11 +114,15 @@ def text_skills(c: Column, most: int = 10, rules: Iterable[tuple[str, str]] = T.
     One pass over the text finds the words with which a rule can begin; only rules whose word is there are tried.
     """
     begin = {name: _beginnings(p) for name, p in rules}
-    words = sorted({w for b in begin.values() for w in b or ()}, key=lambda w: (-len(w), w))
-    first_pass = F.lit(r"\b(?:" + "|".join(words) + ")")
+    words = sorted({w for b in begin.values() for w in b or ()}, key=lambda w: (w[0], -len(w), w))
+    # branches by letter: at most word borders the first letter alone is tried
+    letters = [f"{letter}(?:{'|'.join(w[1:] for w in some)})" for letter, some in itertools.groupby(words, key=lambda w: w[0])]
+    first_pass = F.lit(r"\b(?=[" + "".join(sorted({w[0] for w in words})) + r"])(?:" + "|".join(letters) + ")")
 
-    def begins_with(some: list[str]) -> Callable[[Column], Column]:
-        return lambda h: functools.reduce(Column.__or__, [F.startswith(h, F.lit(w)) for w in some])
+    def found(hits: Column, some: list[str]) -> Column:
+        """Of several beginnings at one place the longest is found, which stands for those it begins with."""
+        telling = [w for w in words if any(w.startswith(x) for x in some)]
+        return F.array_contains(hits, telling[0]) if len(telling) == 1 else F.arrays_overlap(hits, F.array(*[F.lit(w) for w in telling]))
 
     def named(low: Column) -> Column:
         def of(hits: Column) -> Column:
@@ -126,7 +130,7 @@ def text_skills(c: Column, most: int = 10, rules: Iterable[tuple[str, str]] = T.
             for name, p in rules:
                 here = low.rlike(p)
                 if begin[name] is not None:
-                    here = F.exists(hits, begins_with(begin[name])) & here
+                    here = found(hits, begin[name]) & here
                 each.append(F.when(here, F.lit(name)))
             return F.slice(F.filter(F.array(*each), lambda s: s.isNotNull()), 1, most)
 

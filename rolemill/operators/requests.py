@@ -3,6 +3,8 @@ shapes in which answers leave. A request is a row of a table, so a thousand requ
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -47,20 +49,28 @@ def query_vectors(requests: DataFrame, embedded: DataFrame) -> DataFrame:
     return requests.join(e, "user_id", "left").withColumn("vector", F.coalesce(F.when(F.size("affinity") > 0, F.col("affinity")), F.col("_e"))).drop("_e")
 
 
-def match_many(jobs: DataFrame, feedback: DataFrame, requests: DataFrame, now: Column, top_n: int = 30) -> DataFrame:
-    """(user_id, job_id, score, rank): the ranked match of every request with a vector, from one scan of the listings.
+def match_many(jobs: DataFrame, feedback: DataFrame, requests: DataFrame, now: Column, top_n: int = 30, block: int = 2_000) -> DataFrame:
+    """(user_id, job_id, score, rank): the ranked match of every request with a vector, from one scan of the listings for
+    every ``block`` requests.
 
     requests: user_id (key), vector, skills, preferred_industries, preferred_company_size, preferred_locations,
-    liked_companies, disliked_companies, requires_sponsorship. The requests are a stated query set and are broadcast in
-    blocks by the join; of every request no more than 4 * top_n candidates leave a partition (a window with group limit).
+    liked_companies, disliked_companies, requires_sponsorship. The requests are a stated query set: they are counted, and
+    broadcast block by block, so what is broadcast at once is bounded by ``block`` vectors. Of every request no more than
+    4 * top_n candidates leave a partition (a window with group limit).
     """
     usable = active() & F.col("embedding").isNotNull()
     asked = requests.where(F.col("vector").isNotNull()).withColumn("_dim", F.size("vector"))
     rows = jobs.where(usable).withColumn("_dim", F.size("embedding")).select("job_id", "_dim", "embedding")
-    near = rows.join(F.broadcast(asked.select("user_id", "_dim", "vector")), "_dim").withColumn("distance", 1 - cosine(F.col("embedding"), F.col("vector")))
-    near = near.where(F.col("distance").isNotNull() & ~F.isnan("distance"))
     nearest = Window.partitionBy("user_id").orderBy("distance", "job_id")
-    cand = near.withColumn("_k", F.row_number().over(nearest)).where(F.col("_k") <= 4 * top_n).select("user_id", "job_id", "distance")
+    blocks = max(1, -(-requests.count() // block))
+
+    def candidates(k: int) -> DataFrame:
+        few = asked.where(F.pmod(F.xxhash64("user_id"), F.lit(blocks)) == k) if blocks > 1 else asked
+        near = rows.join(F.broadcast(few.select("user_id", "_dim", "vector")), "_dim").withColumn("distance", 1 - cosine(F.col("embedding"), F.col("vector")))
+        near = near.where(F.col("distance").isNotNull() & ~F.isnan("distance"))
+        return near.withColumn("_k", F.row_number().over(nearest)).where(F.col("_k") <= 4 * top_n).select("user_id", "job_id", "distance")
+
+    cand = reduce(DataFrame.union, [candidates(k) for k in range(blocks)])
     cand = cand.join(feedback.select("user_id", "job_id").distinct(), ["user_id", "job_id"], "left_anti")
     u = asked.select("user_id", "vector", *[F.col(c).alias(f"u_{c}") for c in ("skills", "preferred_industries", "preferred_company_size", "preferred_locations", "liked_companies", "disliked_companies", "requires_sponsorship")])
     x = cand.join(jobs, "job_id").join(u, "user_id").where(~F.coalesce("u_requires_sponsorship", F.lit(False)) | not_refused())

@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 from rolemill.functions import normalize as N
 from rolemill.functions import tables as T
 from rolemill.functions import text as X
-from rolemill.operators import dedup, enrich, gates, match, merge, predicates, stats, sync
+from rolemill.operators import dedup, enrich, gates, match, merge, predicates, requests, stats, sync
 from rolemill.operators import feedback as fold
 from rolemill.plans import title_sql
 from rolemill.session import load
@@ -521,10 +521,13 @@ _COS = f"list_dot_product(CAST(embedding AS DOUBLE[]), {_D}) / (sqrt(list_dot_pr
 _OKV = "embedding IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
 
 
+def _usable_vector() -> Column:
+    return (F.size("embedding") == 64) & F.forall("embedding", lambda x: ~F.isnan(x)) & F.exists("embedding", lambda x: x != 0)
+
+
 def query_vector(spark: SparkSession, d: str) -> list[float] | None:
     """The vector asked with: that of the usable listing with the smallest id."""
-    ok = (F.size("embedding") == 64) & F.forall("embedding", lambda x: ~F.isnan(x)) & F.exists("embedding", lambda x: x != 0)
-    row = jobs_of(spark, d).where(ok).orderBy("job_id").select("embedding").first()
+    row = jobs_of(spark, d).where(_usable_vector()).orderBy("job_id").select("embedding").first()
     return [float(x) for x in row[0]] if row else None
 
 
@@ -564,8 +567,12 @@ _W = "0.25 * skills + 0.10 * industry + 0.05 * size + 0.10 * location + 0.10 * r
  FROM k j CROSS JOIN u WHERE j.job_id NOT IN (SELECT job_id FROM feedback f WHERE f.user_id = u.user_id) AND (NOT coalesce(u.requires_sponsorship, false) OR coalesce(j.sponsorship, true)))
  SELECT job_id, round(0.30 * title + {_W}, 6) AS score FROM s ORDER BY score DESC, distance, job_id LIMIT 30""")
 def match_topn(spark, d):
-    found = match.match(jobs_of(spark, d), load(spark, d, "feedback"), query_profile(spark, d), now(), query_vector(spark, d))
-    return found.select("job_id", "score")
+    """One request: the user with the smallest id asks with the usable listing with the smallest id. It is a row of a
+    table, so nothing is read while the plan is made but the number of requests."""
+    jobs = jobs_of(spark, d)
+    first = jobs.where(_usable_vector()).agg(F.min_by("embedding", "job_id").alias("vector"))
+    request = load(spark, d, "user_profiles").orderBy("user_id").limit(1).join(first.withColumn("_one", F.lit(1)), F.col("_one") == 1).drop("_one")
+    return requests.match_many(jobs, load(spark, d, "feedback"), request, now()).select("job_id", "score")
 
 
 @query(f"""WITH u AS ({_USER}), k AS (SELECT * FROM jobs WHERE {_ACT} ORDER BY last_seen_at DESC NULLS LAST, job_id LIMIT 120),

@@ -27,6 +27,13 @@ def test_vector_to_ask_with(spark):
     assert {r.user_id: r.vector for r in requests.query_vectors(asked, texts).collect()} == {"u": [1.0], "v": [2.0], "w": None}
 
 
+def test_blocks_of_requests_change_nothing(spark, data):
+    from rolemill.plans import queries_feeds as q
+
+    rows = lambda block: sorted(map(tuple, requests.match_many(q.jobs_of(spark, data), spark.read.parquet(f"{data}/feedback.parquet"), q.asked(spark, data), q.now(), block=block).collect()))
+    assert rows(2_000) == rows(2) != []
+
+
 def test_page_summary(spark):
     pages = ['<html><title>Dev | Acme</title><meta property="og:site_name" content="Acme"><p>Text</p></html>', "<p>bare</p>"]
     rows = [r[0] for r in spark.createDataFrame([(p,) for p in pages], "h string").select(requests.page_summary(F.col("h"))).collect()]
