@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -39,6 +39,12 @@ def without_nul(c: Column) -> Column:
     return F.replace(c, F.lit("\x00"), F.lit(""))
 
 
+def without_nul_anywhere(df: DataFrame) -> DataFrame:
+    """The rows without NUL characters in texts and lists of texts; other columns stay."""
+    clean = {"string": without_nul, "array<string>": lambda c: F.transform(c, without_nul)}
+    return df.select(*[clean[kind](F.col(c)).alias(c) if kind in clean else F.col(c) for c, kind in df.dtypes])
+
+
 def first_url(c: Column) -> Column:
     """Of a markdown link, else of an href."""
     md, href = F.regexp_extract(c, r"\[[^\]]*\]\(([^)\s]+)", 1), F.regexp_extract(c, r"""(?i)href=["']([^"']+)""", 1)

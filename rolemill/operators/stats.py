@@ -97,3 +97,31 @@ def browse(jobs: DataFrame, predicate: Column, page: int, size: int = 50) -> Dat
 def queue(jobs: DataFrame, predicate: Column, order: list[Column], most: int = 3000) -> DataFrame:
     """The next rows of a work queue; the limit bounds a run."""
     return jobs.where(predicate).orderBy(*order).limit(most)
+
+
+def field_report(jobs: DataFrame, aggregator: str, levels: tuple[str, ...] = ("intern", "entry", "mid", "senior")) -> DataFrame:
+    """(kind, label, rows, share) over the table: fields that are there, and states that contradict each other.
+
+    jobs has apply_url, enriched_at, dead and permanent_404 beside the listing's own columns. One aggregate.
+    """
+    c, filled = F.col, lambda n: F.coalesce(F.col(n), F.lit("")) != ""
+    through = lambda n: F.contains(F.lower(n), F.lit(aggregator))
+    vector, done = c("embedding").isNotNull(), c("enriched_at").isNotNull()
+    there = {
+        "direct_address": filled("apply_url") & ~through("apply_url"), "any_address": filled("primary_url") | filled("apply_url"), "text": usable_text(), "skills": has_entries(),
+        "industry": filled("industry") & (c("industry") != "unknown"), "company_size": filled("company_size"), "level": filled("seniority_level"), "enriched": done, "embedded": vector,
+    }
+    wrong = {
+        "embedded_thin_text": vector & ~usable_text(), "embedded_no_skills": vector & ~has_entries(), "enriched_no_industry": done & ~filled("industry"), "enriched_no_skills": done & ~has_entries(),
+        "active_dead": (c("status") == "active") & F.coalesce("dead", F.lit(False)), "active_gone": (c("status") == "active") & F.coalesce("permanent_404", F.lit(False)),
+        "address_of_aggregator": through("apply_url"), "level_off_vocabulary": c("seniority_level").isNotNull() & ~F.lower("seniority_level").isin(*levels),
+    }
+    named = [(k, n, x) for k, some in (("there", there), ("wrong", wrong)) for n, x in some.items()]
+    one = jobs.agg(F.count("*").alias("_all"), *[F.count_if(F.coalesce(x, F.lit(False))).alias(n) for _, n, x in named])
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(n).alias("label"), c(n).alias("rows"), F.round(F.coalesce(F.try_divide(c(n), c("_all")), F.lit(0.0)), 6).alias("share")) for k, n, _ in named])
+    return one.select(F.explode(rows).alias("x")).select("x.*")
+
+
+def rolled_up(counters: DataFrame) -> DataFrame:
+    """(counter, value) of (stage, counter, value): the sums over all stages."""
+    return counters.groupBy("counter").agg(F.sum("value").alias("value"))

@@ -39,6 +39,12 @@ def shipment(jobs: DataFrame, ledger: DataFrame, since: Column | None = None, wi
     return gone.withColumns({"stream": F.lit("inactive"), "turn": F.lit(0)}).unionByName(live)
 
 
+def stale_active(local: DataFrame, remote: DataFrame) -> DataFrame:
+    """(job_id): listings that a receiver still shows as active while they are inactive here."""
+    shown = remote.where("status = 'active'").select("job_id").distinct()
+    return local.where("status = 'inactive'").select("job_id").join(shown, "job_id", "left_semi")
+
+
 def after_run(ledger: DataFrame, sent: DataFrame, results: DataFrame, at: Column, stored: Any = None) -> tuple[DataFrame, DataFrame]:
     """(ledger, watermark) after a run: only delivered active rows are recorded, and only they move the watermark.
 

@@ -291,10 +291,14 @@ def vector_queue(spark, d):
 # ---- duplicates
 
 
-@query()
+_PRIORITY = sql_case("string_split(j.source_repo, ':')[1]", T.SOURCE_PRIORITY, "0")
+
+
+@query(f"""WITH c AS ({SQL['canonical_urls']}), r AS (SELECT j.job_id, c.url, row_number() OVER (PARTITION BY c.url ORDER BY -({_PRIORITY}), CASE WHEN {_TEXT} THEN 0 ELSE 1 END, CASE WHEN {_SKILLS} THEN 0 ELSE 1 END, CASE WHEN embedding IS NULL THEN 1 ELSE 0 END, j.job_id) AS k FROM jobs j JOIN c ON c.job_id = j.job_id WHERE {_ACT} AND c.url <> '')
+ SELECT j.job_id, CASE WHEN r.k > 1 THEN 'duplicate' ELSE j.status END AS status FROM jobs j LEFT JOIN r ON r.job_id = j.job_id""")
 def url_duplicates(spark, d):
-    """Status after the best listing of every canonical address was kept; tested against a model, as the address itself is."""
-    return dedup.mark_url_duplicates(jobs_of(spark, d)).groupBy("status").agg(F.count("*").alias("listings"), F.min("job_id").alias("first_id"))
+    """Status after the best listing of every canonical address was kept."""
+    return dedup.mark_url_duplicates(jobs_of(spark, d)).select("job_id", "status")
 
 
 @query()
@@ -446,10 +450,15 @@ def company_lists(spark, d):
     return fold.company_lists(load(spark, d, "feedback"), jobs_of(spark, d))
 
 
-@query()
+_MIX = "list_transform(list_zip(a, v), lambda z: 0.7 * z[1] + 0.3 * z[2])"
+
+
+@query(f"""WITH l AS (SELECT f.user_id, f.recorded_at, f.feedback_id, CAST(j.embedding AS DOUBLE[]) AS v FROM ({_FIRST}) f JOIN jobs j ON f.job_id = j.job_id WHERE f.reaction = 'like' AND len(j.embedding) = 64 AND len(list_filter(j.embedding, lambda x: x IS NULL OR isnan(x))) = 0),
+ g AS (SELECT user_id, list(v ORDER BY recorded_at, feedback_id) AS vs, count(*) AS likes FROM l GROUP BY 1)
+ SELECT user_id, likes, list_transform(list_reduce(vs, lambda a, v: list_transform({_MIX}, lambda x: x / (sqrt(list_dot_product({_MIX}, {_MIX})) + 1e-9))), lambda x: round(x, 6) + 0.0) AS affinity FROM g""")
 def affinities(spark, d):
-    """The fold is not a SQL aggregate; tested against a model."""
-    return fold.affinity(load(spark, d, "feedback"), jobs_of(spark, d), 64)
+    folded = fold.affinity(load(spark, d, "feedback"), jobs_of(spark, d), 64)
+    return folded.select("user_id", "likes", F.transform("affinity", lambda x: F.round(x, 6) + F.lit(0.0)).alias("affinity"))
 
 
 # ---- gates

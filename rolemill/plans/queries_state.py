@@ -13,7 +13,8 @@ from rolemill.functions import text as X
 from rolemill.operators import dedup, enrich, gates, match, merge, predicates, requests, stats, sync, transitions
 from rolemill.operators import feedback as fold
 from rolemill.plans import pipeline, title_sql
-from rolemill.plans.queries import _KNOWN, _FIRST, _LEDGER, _METRICS, _OLD, _NEW, _SKILLS, _TEXT, NOW, _old_new, jobs_of, now, query, query_profile, query_vector, sql_name
+from rolemill.functions import tables as T
+from rolemill.plans.queries import _FIRST, _LEDGER, _LEVEL, _METRICS, _NEW, _OLD, _SKILLS, _TEXT, _TK, NOW, sql_case, _old_new, jobs_of, now, query
 from rolemill.session import load
 from rolemill.sources import details, parsers
 
@@ -285,3 +286,54 @@ def profiles_patched(spark, d):
     docs = u.select("user_id", F.to_json(F.struct(some.alias("skills"), F.when(F.size(F.coalesce("disliked_companies", F.array().cast("array<string>"))) > 0, 3.5).alias("totalYearsExperience"))).alias("body"))
     asked = u.select("user_id", F.when(own, F.col("skills")).otherwise(F.array().cast("array<string>")).alias("skills"), F.when(own, 1.0).alias("total_years"), *[F.lit(None).cast("string").alias(c) for c in ("derived", "derived_version", "derived_hash")])
     return requests.patched(asked, requests.profile_patches(docs)).select("user_id", "skills", "total_years")
+
+
+_OWNED = "['python', 'sql', 'project management', 'excel']"
+_TOKENS = _TK("required_skills")
+_LABEL = f"CASE WHEN coalesce(seniority_level, '') = '' THEN 'unknown' ELSE {sql_case(_LEVEL, T.SENIORITY_ALIASES, _LEVEL)} END"
+
+
+@query(f"""WITH t AS (SELECT job_id, seniority_level, {_TOKENS} AS k, {_LABEL} AS label FROM jobs), r AS (SELECT *, {sql_case('label', T.SENIORITY_RANK, 'NULL')} AS rank,
+ list_sort(list_intersect(k, ['python', 'sql', 'project_management', 'excel'])) AS m FROM t)
+ SELECT job_id, round(CASE WHEN len(k) > 0 THEN list_avg(list_transform(k, lambda x: CASE x WHEN 'python' THEN 0.8 WHEN 'sql' THEN 1.0 ELSE 0.0 END)) ELSE 0.0 END, 6) AS depth, round(CASE WHEN len(k) > 0 THEN list_avg(list_transform(k, lambda x: CASE x WHEN 'python' THEN 1.0 WHEN 'sql' THEN 0.7 ELSE 0.0 END)) ELSE 0.0 END, 6) AS last_use,
+ CASE WHEN label = 'unknown' THEN 0.5 WHEN label = 'senior' THEN 1.0 WHEN rank IS NULL THEN 0.5 WHEN abs(rank - 3) = 1 THEN 0.75 ELSE 0.2 END AS level, m AS matched,
+ CASE WHEN len(m) > 0 THEN 'matches ' || array_to_string(m[1:3], ', ') || CASE WHEN len(m) > 3 THEN ' and ' || (len(m) - 3) || ' more' ELSE '' END || coalesce('; ' || seniority_level, '') ELSE '' END AS explanation FROM r""")
+def experience_signals(spark, d):
+    """Depth, last use and level against one user's experience, with the matched skills and the sentence about them."""
+    c = F.col
+    owned = F.array(*[F.lit(s) for s in ("python", "sql", "project management", "excel")])
+    matched = match.matched_skills(c("required_skills"), owned)
+    return jobs_of(spark, d).select(
+        "job_id", F.round(match.depth_signal(c("required_skills"), {"python": 4, "sql": 6}, None, owned), 6).alias("depth"), F.round(match.skill_recency_signal(c("required_skills"), {"python": "present", "sql": "2024-01-01"}, now()), 6).alias("last_use"),
+        match.seniority_signal(c("seniority_level"), F.lit("senior")).alias("level"), matched.alias("matched"), match.explanation(matched, c("seniority_level")).alias("explanation"),
+    )
+
+
+_FIELDS = {
+    "direct_address": "coalesce(apply_url, '') <> '' AND NOT contains(lower(apply_url), 'jobright')", "any_address": "coalesce(primary_url, '') <> '' OR coalesce(apply_url, '') <> ''", "text": _TEXT, "skills": _SKILLS,
+    "industry": "coalesce(industry, '') <> '' AND industry <> 'unknown'", "company_size": "coalesce(company_size, '') <> ''", "level": "coalesce(seniority_level, '') <> ''", "enriched": "enriched_at IS NOT NULL", "embedded": "embedding IS NOT NULL",
+}
+_WRONG = {
+    "embedded_thin_text": f"embedding IS NOT NULL AND NOT {_TEXT}", "embedded_no_skills": f"embedding IS NOT NULL AND NOT ({_SKILLS})", "enriched_no_industry": "enriched_at IS NOT NULL AND coalesce(industry, '') = ''",
+    "enriched_no_skills": f"enriched_at IS NOT NULL AND NOT ({_SKILLS})", "active_dead": "status = 'active' AND dead", "active_gone": "status = 'active' AND permanent_404", "address_of_aggregator": "contains(lower(apply_url), 'jobright')",
+    "level_off_vocabulary": "seniority_level IS NOT NULL AND lower(seniority_level) NOT IN ('intern', 'entry', 'mid', 'senior')",
+}
+
+
+@query(f"WITH w AS ({_WIDE}), n AS (SELECT count(*) AS n FROM jobs) " + " UNION ALL ".join(f"SELECT '{k}' AS kind, '{label}' AS label, count(*) FILTER (WHERE {p}) AS rows, round(count(*) FILTER (WHERE {p}) / (SELECT n FROM n), 6) AS share FROM w" for k, some in (("there", _FIELDS), ("wrong", _WRONG)) for label, p in some.items()))
+def field_report(spark, d):
+    return stats.field_report(wide(spark, d), "jobright")
+
+
+@query("SELECT 'rows' AS counter, count(*) AS value FROM jobs UNION ALL SELECT 'with_url', count(*) FILTER (WHERE primary_url IS NOT NULL) FROM jobs")
+def counters_rolled_up(spark, d):
+    """Counters of every feed, summed over the feeds."""
+    per = jobs_of(spark, d).groupBy("source_repo").agg(F.count("*").alias("rows"), F.count("primary_url").alias("with_url"))
+    pairs = F.array(*[F.struct(F.lit(n).alias("counter"), F.col(n).alias("value")) for n in ("rows", "with_url")])
+    return stats.rolled_up(per.select(F.col("source_repo").alias("stage"), F.explode(pairs).alias("x")).select("stage", "x.*"))
+
+
+@query("SELECT job_id FROM jobs WHERE status = 'inactive' AND job_id IN (SELECT job_id FROM synced_hashes)")
+def still_shown(spark, d):
+    """The ledger stands for the receiver: what it has is shown as active."""
+    return sync.stale_active(jobs_of(spark, d), load(spark, d, "synced_hashes").withColumn("status", F.lit("active")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fs(spark: SparkSession, path: str):
@@ -57,3 +58,12 @@ def drop_old(spark: SparkSession, root: str, keep: int = 2) -> None:
         for name in (f"published{k}", f"v{k}", f"claim{k}"):
             p, fs, _ = _fs(spark, f"{root}/{name}")
             fs.delete(p, True)
+
+
+def write_report(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Rows as text files with a header: id maps and revert logs (with a tab), reports. Every column is written as text."""
+    df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+
+
+def read_report(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    return spark.read.option("header", True).option("sep", sep).csv(path)

@@ -105,3 +105,13 @@ def test_a_shared_folder_is_asked_for_on_a_cluster(spark, monkeypatch):
     with pytest.raises(RuntimeError):
         shared_dir(Session)
     assert shared_dir(spark)
+
+
+def test_reports_and_texts_without_nul(spark, tmp_path):
+    from rolemill.functions.text import without_nul_anywhere
+    from rolemill.store import read_report, write_report
+
+    df = spark.createDataFrame([("a\x00b", ["x\x00", None], 1), (None, None, 2)], "t string, l array<string>, n int")
+    assert sorted(map(tuple, without_nul_anywhere(df).collect()), key=lambda r: r[2]) == [("ab", ["x", None], 1), (None, None, 2)]
+    write_report(spark.createDataFrame([("old", "new"), ("o2", None)], "a string, b string"), str(tmp_path / "map"), "\t")
+    assert sorted(map(tuple, read_report(spark, str(tmp_path / "map"), "\t").collect())) == [("o2", None), ("old", "new")]
