@@ -230,6 +230,18 @@ def in_bitmap(bitmap: bytes, hashes: np.ndarray) -> np.ndarray:
     return ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).all(axis=1)
 
 
+def marked_rows(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows of df whose key may be among ids (one column): what a join with ids then decides needs no shuffle of the rest."""
+    bitmap = df.sparkSession.sparkContext.broadcast(bitmap_of(ids.select(F.xxhash64(ids.columns[0]))))
+    hashed = df.withColumn("_hash", F.xxhash64(key))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(in_bitmap(bitmap.value, b.column(b.num_columns - 1).to_numpy(zero_copy_only=False))))
+
+    return hashed.mapInArrow(run, hashed.schema).drop("_hash")
+
+
 def _packed(bitmap):
     """Texts whose id may be needed, as compressed bytes for the way to their partners."""
 

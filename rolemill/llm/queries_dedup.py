@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolemill.llm.components import connected_components
-from rolemill.llm.neardup import expand_pairs, near_duplicates, record_text
+from rolemill.llm.neardup import expand_pairs, marked_rows, near_duplicates, record_text
 from rolemill.llm.survivor import consensus, select_survivors
 from rolemill.session import load, materialize
 
@@ -61,7 +61,7 @@ def p3_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     consensus of its listings. A listing votes once for each of its feeds; a group without any feed has a null source."""
     groups = materialize(_groups(spark, sf_dir), "groups")
     jobs = load(spark, sf_dir, "jobs").select("job_id", "role_title", "job_description", "sources")
-    rows = jobs.join(groups, "job_id")
+    rows = materialize(marked_rows(jobs, "job_id", groups.select("job_id")).join(groups, "job_id"), "grouped")  # read three times
     feed = lambda x: F.lower(F.regexp_replace(F.substring_index(x, ":", 1), "^\\s+|\\s+$", ""))
     entries = rows.select("group_id", F.explode_outer(F.array_distinct(F.transform("sources", feed))).alias("source"))
     titles = consensus(rows, "group_id", "role_title")

@@ -117,6 +117,13 @@ def test_bitmap_holds_every_id(spark):
     assert np.unpackbits(np.frombuffer(bits, np.uint8)).sum() <= 3 * 5000
 
 
+def test_marked_rows_keep_all_that_are_asked_for(spark):
+    df = spark.createDataFrame([(f"k{i}", None if i % 2 else ["x"], i) for i in range(3000)] + [(None, None, -1)], "key string, l array<string>, n int")
+    got = {r.n for r in neardup.marked_rows(df, "key", df.where("n % 10 = 3").select("key")).collect()}
+    assert {i for i in range(3000) if i % 10 == 3} <= got and len(got) < 1000
+    assert neardup.marked_rows(df, "key", df.limit(0).select("key")).count() == 0
+
+
 @pytest.mark.parametrize("name", ["p2_found", "p3_found"])
 def test_against_sql(spark, data, name):
     assert compare(spark, QUERIES[name], SQL[name], data) == ""
