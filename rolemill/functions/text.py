@@ -24,6 +24,19 @@ def unescape_nfkc(c: pd.Series) -> pd.Series:
     return c.map(lambda s: None if s is None else unicodedata.normalize("NFKC", html.unescape(s)))
 
 
+@F.pandas_udf(StringType())
+def nfkc(c: pd.Series) -> pd.Series:
+    """Compatibility forms composed: there is no built-in function."""
+    import unicodedata
+
+    return c.map(lambda s: None if s is None else unicodedata.normalize("NFKC", s))
+
+
+def registry_key(c: Column) -> Column:
+    """A company's name or slug as the key of a registry: compatibility forms, lower case, letters a-z and digits alone."""
+    return squeeze(F.regexp_replace(F.lower(nfkc(c)), "[^a-z0-9 ]", " "))
+
+
 def strip_markup(c: Column) -> Column:
     """Tags as blanks, scripts and styles dropped with their content."""
     bare = F.regexp_replace(c, r"(?is)<(script|style)[^>]*>.*?</(script|style)>", " ")

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rolemill.functions.normalize import content_hash, job_identity, name_key, squeeze, strip
-from rolemill.functions.text import first_url, strip_markup
+from rolemill.functions.normalize import content_hash, job_identity, squeeze, strip
+from rolemill.functions.text import first_url, registry_key, strip_markup
 
 CLOSED, CONTINUED = "🔒", "↳"
 _BADGES = "[🎓🔥🛂🇺🇸]"
@@ -187,7 +187,7 @@ def registry_rows(files: DataFrame, system: str = "system", body: str = "body")
     as_list = files.where(F.startswith(strip(F.col(body)), F.lit("["))).select(system, F.posexplode(listed).alias("position", "slug")).select(system, "position", F.substring_index("slug", "|", 1).alias("name"), "slug")
     as_map = files.where(F.startswith(strip(F.col(body)), F.lit("{"))).select(system, F.posexplode(mapped).alias("position", "e")).select(system, "position", F.col("e.key").alias("name"), F.col("e.value").alias("slug"))
     both = as_list.union(as_map)
-    return both.select(system, squeeze(F.regexp_replace(name_key(F.col("name")), "[-_]+", " ")).alias("key"), "slug", "position")
+    return both.select(system, registry_key(F.col("name")).alias("key"), "slug", "position")
 
 
 def registry_lookup(names: DataFrame, registry: DataFrame, name: str = "company_name", least_chars: int = 3) -> DataFrame:
@@ -196,7 +196,7 @@ def registry_lookup(names: DataFrame, registry: DataFrame, name: str = "company_
     Containment is joined on shared three-letter pieces instead of all pairs: whichever key is the shorter, its rarest
     piece occurs in the longer one, so a common piece is no hot key. Keys below ``least_chars`` letters match by equality alone.
     """
-    n = names.select(name).where(F.col(name).isNotNull()).distinct().withColumn("key", name_key(F.col(name)))
+    n = names.select(name).where(F.col(name).isNotNull()).distinct().withColumn("key", registry_key(F.col(name))).where("key <> ''")
     r = registry.groupBy("key").agg(F.min(F.struct("position", "slug")).alias("r")).select("key", "r.position", "r.slug")
     exact = n.join(r, "key").select(name, "slug", F.lit(True).alias("exact"))
     grams = lambda k: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(k) - 2, F.lit(1))), lambda i: F.substring(k, i, F.lit(3))))

@@ -136,3 +136,7 @@ def test_unfenced(spark):
 def test_no_python_in_native_functions(spark):
     plan = spark.createDataFrame([("x",)], "v string").select(N.name_key(F.col("v")), X.canonical_url(F.col("v")), X.title_level(F.col("v")))._jdf.queryExecution().toString()
     assert "EvalPython" not in plan
+
+
+def test_registry_key(spark):
+    assert evaluate(spark, X.registry_key(F.col("v")), "Ａcme ＆ Söns, Inc.", "globex-corp", "株式会社", None) == ["acme s ns inc", "globex corp", "", None]
