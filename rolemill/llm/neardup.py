@@ -47,7 +47,7 @@ SPREADS = 3
 EXPECTED = 7.0
 #: A candidate agrees in so many blocks (in one, where every shingle is a block).
 AGREEMENTS = 2
-#: 8 MB; and how many bits an id sets.
+#: 8 MB at most, 16 bits an id as long as that is less; and how many bits an id sets.
 BITMAP_BITS, BITMAP_HASHES = 1 << 26, 3
 _BITMAP_PIECE = 1 << 16
 _DOC_BITS = 14
@@ -196,19 +196,20 @@ def _sketch_batches(width: int, threshold: float, load: float, exact: bool):
     return run
 
 
-def _slots(hashes: np.ndarray) -> np.ndarray:
-    """The bits that 64-bit hashes set: hashes x BITMAP_HASHES."""
+def _slots(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The bits of a bitmap that 64-bit hashes set: hashes x BITMAP_HASHES."""
     h = hashes.view(np.uint64)
-    return np.stack([(_mix(h + np.uint64(k)) % np.uint64(BITMAP_BITS)).astype(np.int64) for k in range(BITMAP_HASHES)], axis=1)
+    return np.stack([(_mix(h + np.uint64(k)) % np.uint64(size)).astype(np.int64) for k in range(BITMAP_HASHES)], axis=1)
 
 
 def bitmap_of(ids: DataFrame) -> bytes:
     """The bitmap of a column of hashes; put together piece by piece in the cluster, so the driver gets BITMAP_BITS bits at most."""
+    size = min(BITMAP_BITS, max(_BITMAP_PIECE, 1 << (16 * ids.count()).bit_length()))
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITMAP_BITS, bool)
+        bits = np.zeros(size, bool)
         for b in batches:
-            bits[_slots(b.column(0).to_numpy(zero_copy_only=False)).ravel()] = True
+            bits[_slots(b.column(0).to_numpy(zero_copy_only=False), size).ravel()] = True
         pieces = bits.reshape(-1, _BITMAP_PIECE)
         some = np.flatnonzero(pieces.any(axis=1))
         yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array([np.packbits(p).tobytes() for p in pieces[some]], pa.binary())], names=["piece", "bits"])
@@ -217,7 +218,7 @@ def bitmap_of(ids: DataFrame) -> bytes:
         one = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in table.column("bits").to_pylist()])
         return pa.table({"piece": table.column("piece").slice(0, 1), "bits": pa.array([one.tobytes()], pa.binary())})
 
-    whole = np.zeros((BITMAP_BITS // _BITMAP_PIECE, _BITMAP_PIECE // 8), np.uint8)
+    whole = np.zeros((size // _BITMAP_PIECE, _BITMAP_PIECE // 8), np.uint8)
     merged = ids.mapInArrow(part, "piece int, bits binary").groupBy("piece").applyInArrow(either, "piece int, bits binary")
     for r in merged.collect():  # at most BITMAP_BITS / _BITMAP_PIECE rows
         whole[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
@@ -226,7 +227,7 @@ def bitmap_of(ids: DataFrame) -> bytes:
 
 def in_bitmap(bitmap: bytes, hashes: np.ndarray) -> np.ndarray:
     """Which hashes may be in the bitmap; those that it was made of are."""
-    bits, slot = np.frombuffer(bitmap, np.uint8), _slots(hashes)
+    bits, slot = np.frombuffer(bitmap, np.uint8), _slots(hashes, 8 * len(bitmap))
     return ((bits[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).all(axis=1)
 
 
