@@ -327,16 +327,16 @@ def first_reactions(spark, d):
     return dedup.first_reactions(load(spark, d, "feedback"))
 
 
-# ---- merge: the snapshot is the table without ids that begin with 0 to 3, the delta what begins with 2 to 7, partly changed
+# ---- merge: the snapshot is the table without ids that begin with 0 to 3, the delta what begins with 0 to 7, partly changed: together the whole table
 
 _OLD = "SELECT * FROM jobs WHERE substr(job_id, 1, 1) NOT IN ('0', '1', '2', '3')"
 _NEW = f"""SELECT * REPLACE (CASE WHEN substr(job_id, 2, 1) < '8' THEN content_hash ELSE sha256(job_id) END AS content_hash, TIMESTAMP '{NOW}' AS last_seen_at, ['extra'] AS sources, 'active' AS status,
- CASE WHEN substr(job_id, 3, 1) < '8' THEN job_description END AS job_description) FROM jobs WHERE substr(job_id, 1, 1) BETWEEN '2' AND '7'"""
+ CASE WHEN substr(job_id, 3, 1) < '8' THEN job_description END AS job_description) FROM jobs WHERE substr(job_id, 1, 1) BETWEEN '0' AND '7'"""
 
 
 def _old_new(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     j, first = jobs_of(spark, d), F.substring("job_id", 1, 1)
-    new = j.where(first.between("2", "7")).withColumns({
+    new = j.where(first.between("0", "7")).withColumns({
         "content_hash": F.when(F.substring("job_id", 2, 1) < "8", F.col("content_hash")).otherwise(F.sha2("job_id", 256)),
         "last_seen_at": now(),
         "sources": F.array(F.lit("extra")),
