@@ -6,15 +6,15 @@ the commonest words of a language (Kullback-Leibler over these words and the res
 same length without any of them, for the language that fits best, as labels of languages are partly wrong. Common words and their shares are counted over all pages, a text once a task.
 
 Extreme is what lies beyond the prose pages of comparable length (the same power of two of words): a divergence above
-nine tenths of them, a slope outside all but a hundredth on either side, a residual above all but a hundredth. These
-bounds are read from at most ``sample`` different texts, drawn by a hash of the text and labelled by ``listed_words``; at
-a length with fewer than ``least_prose`` known prose pages every page counts as extreme. Pages that are extreme in any of
-the three are nominated, in the whole table; a nominated page counts when more than half of its words stand in lists,
-which ``listed_words`` checks stretch by stretch.
+nine tenths of them, a slope outside all but a hundredth on either side, a residual above all but a hundredth. Prose is
+every text of which ``listed_words`` finds no more than half of the words in lists, a text once; the bounds are ranks over
+all of these, counted and compared on a grid of ``GRID``. At a length with fewer than ``least_prose`` prose pages every
+page counts as extreme. Pages that are extreme in any of the three are nominated; a nominated page counts when more than
+half of its words stand in lists, which ``listed_words`` counts stretch by stretch, once for every page.
 
 A spectrum has few rows (a page's different frequencies), so what is shuffled doesn't grow with the length of texts, and
-texts are not shuffled at all: nominated pages are picked in the scan by a bounded bitmap of their hashes. Statistics
-cover all pages; no page is sampled or cut. Equal texts have equal hashes and are judged alike, wherever they stand.
+texts are not shuffled at all: their counts of listed words are. Statistics and bounds cover all pages; no page is sampled
+or cut. Equal texts have equal hashes and are judged alike, wherever they stand.
 
 The labels are those of the stretch, a line or a sentence: links; separators or commas in a row with hardly a function
 word between; words without a sentence; the same words over and over; runs of short lines that end without a stop.
@@ -31,11 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rolemill.llm.neardup import bitmap_of, in_bitmap
 from rolemill.session import materialize, release
 
 # Function words of the languages written with Latin letters, without accents.
@@ -88,7 +87,7 @@ class _Stretch:
         repeats = len(self.core) - len(set(self.core))
         if self.function >= 0.12 * n and repeats < 0.42 * (len(self.core) - self.function):
             return None
-        if not self.core or _CODE.search(text):
+        if not self.core or (("=" in text or "{" in text or "}" in text or '":' in text) and _CODE.search(text)):
             return None
         if self.function < 0.12 * n:
             if n >= 5 and sum(len(w) <= 2 and not w[0].isalnum() and not w[-1].isalnum() for w in words) >= 0.12 * n:
@@ -116,13 +115,17 @@ def listed_words(text: str) -> tuple[int, int, int]:
         body = _BULLET.sub("", line)
         if not body.strip():
             continue
-        may_link = "//" in body or _MAY_LINK.search(body) is not None
+        # what the pattern can't do without is looked for first
+        may_link = ("/" in body or "w." in body or "W." in body or "](" in body or "=" in body) and ("//" in body or _MAY_LINK.search(body) is not None)
+        count = 0
         for s in _SENTENCE.split(body):
             if words := s.split():
+                count += len(words)
                 part = _Stretch(len(short), s, words)
                 part.label = part.judge(s, may_link)
                 parts.append(part)
-        short.append(body.rstrip()[-1] not in _STOP and len(body.split()) <= SHORT_LINE)
+        # sentences end at blanks, so their words are the line's
+        short.append(count <= SHORT_LINE and body.rstrip()[-1] not in _STOP)
     if any(p.label == "again?" for p in parts):
         times = Counter(tuple(p.core) for p in parts)
         for p in parts:
@@ -154,7 +157,8 @@ def listed_words(text: str) -> tuple[int, int, int]:
 HEAD_WORDS, LEAST_PAGES, MOST_LANGUAGES = 200, 30, 64
 #: Words a page is taken to have had beside its own, spread as in prose.
 PRIOR_WORDS = 2.0
-SAMPLE = 4000
+#: Steps of the grid on which slopes, residuals and divergences are counted for their ranks.
+GRID = 1e-4
 
 
 def _tokens(text: str) -> list[str]:
@@ -276,42 +280,60 @@ def page_curves(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 
 def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known: dict[int, tuple[int, int]] = {}
     for b in batches:
-        found = [listed_words(t or "")[:2] for t in b.column("text").to_pylist()]
+        found = []
+        for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist()):
+            if key not in known:
+                if len(known) > 400_000:
+                    known.clear()
+                known[key] = listed_words(text or "")[:2]
+            found.append(known[key])
         yield pa.record_batch([b.column("id"), b.column("key"), pa.array([f[0] for f in found], pa.int32()), pa.array([f[1] for f in found], pa.int32())], names=["id", "key", "listed", "words"])
 
 
-_LABEL = "id string, key bigint, listed int, words int"
+def labelled(texts: DataFrame) -> DataFrame:
+    """(id, key, listed, words) of every page of texts (id, key, text), materialized."""
+    return materialize(texts.where(F.col("text").isNotNull()).select("id", "key", "text").mapInArrow(_labels, "id string, key bigint, listed int, words int"), "labels")
 
 
-def nominate(curves: DataFrame, texts: DataFrame, share: float = 0.5, sample: int = SAMPLE, divergent: float = 0.9, tail: float = 0.01, least_prose: int = 10) -> DataFrame:
-    """The curves of the pages that are extreme in slope, residual or divergence; texts: (id, key, text)."""
-    spark = curves.sparkSession
-    known = curves.orderBy(F.xxhash64("key", F.lit(3)), "key").limit(sample).select("key", "size", "divergence", "slope", "residual").collect()  # at most sample rows
-    picked = texts.join(F.broadcast(spark.createDataFrame([(r["key"],) for r in known], "key bigint")), "key").select("id", "key", "text")
-    prose = {r["key"] for r in picked.mapInArrow(_labels, _LABEL).dropDuplicates(["key"]).where(F.col("listed") <= share * F.col("words")).select("key").collect()}
-    by_size: dict[int, list[tuple[float, float, float]]] = defaultdict(list)
-    for r in known:
-        if r["key"] in prose:
-            by_size[r["size"]].append((r["divergence"], r["slope"], r["residual"]))
-    bounds = [(size, *(float(np.quantile(np.array(v)[:, k], q)) for k, q in ((0, divergent), (1, tail), (1, 1 - tail), (2, 1 - tail)))) for size, v in by_size.items() if len(v) >= least_prose]
-    table = spark.createDataFrame(bounds, "size int, far double, steep double, flat double, rough double")  # a row for every power of two
+def _step(name: str) -> Column:
+    return F.round(F.col(name) / GRID).cast("bigint")
+
+
+def prose_bounds(curves: DataFrame, labels: DataFrame, share: float, divergent: float, tail: float, least_prose: int) -> DataFrame:
+    """(size, far, steep, flat, rough), in steps of the grid, over all different prose texts: a row for every power of two.
+
+    A bound is the value at a rank. What is ranked are counted steps: as many as the grid has, however many pages there are.
+    """
+    prose = labels.groupBy("key").agg((F.first("listed") <= share * F.first("words")).alias("prose")).where("prose").select("key")
+    stats = F.explode(F.array(*(F.struct(F.lit(n).alias("stat"), _step(n).alias("step")) for n in ("divergence", "slope", "residual"))))
+    steps = curves.join(prose, "key").select("size", stats.alias("s")).groupBy("size", "s.stat", "s.step").agg(F.count("*").alias("n"))
+    whole = Window.partitionBy("size", "stat")
+    ranked = steps.withColumn("upto", F.sum("n").over(whole.orderBy("step"))).withColumn("all", F.sum("n").over(whole))
+    at = lambda stat, q: F.min(F.when((F.col("stat") == stat) & (F.col("upto") > q * (F.col("all") - 1)), F.col("step")))
+    bounds = [at("divergence", divergent).alias("far"), at("slope", tail).alias("steep"), at("slope", 1 - tail).alias("flat"), at("residual", 1 - tail).alias("rough")]
+    return ranked.where(F.col("all") >= least_prose).groupBy("size").agg(*bounds)
+
+
+def extreme(curves: DataFrame, labels: DataFrame, share: float = 0.5, divergent: float = 0.9, tail: float = 0.01, least_prose: int = 10) -> DataFrame:
+    """The curves that are extreme in slope, residual or divergence, by the bounds of all prose pages among labels."""
+    table = materialize(prose_bounds(curves, labels, share, divergent, tail, least_prose), "bounds")
     c = F.col
-    typical = (c("divergence") < c("far")) & c("slope").between(c("steep") - 1e-6, c("flat") + 1e-6) & (c("residual") <= c("rough") + 1e-6)
+    typical = (_step("divergence") < c("far")) & _step("slope").between(c("steep"), c("flat")) & (_step("residual") <= c("rough"))
     return curves.join(F.broadcast(table), "size", "left").where(~F.coalesce(typical, F.lit(False))).select(*curves.columns)
 
 
+def nominate(curves: DataFrame, texts: DataFrame, share: float = 0.5, **bounds: float) -> DataFrame:
+    """The curves of the pages that are extreme in slope, residual or divergence; texts: (id, key, text)."""
+    return extreme(curves, labelled(texts), share, **bounds)
+
+
 def stuffed_pages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", share: float = 0.5, **bounds: float) -> DataFrame:
     """(id, slope, residual, divergence, listed, words): pages of which more than ``share`` of the words stand in lists."""
     texts = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("key", F.xxhash64("text"))
     curves = materialize(page_curves(df, text_col, lang_col), "curves")
-    nominated = materialize(nominate(curves, texts, share, **bounds).drop("words"), "nominated")
-    bitmap = df.sparkSession.sparkContext.broadcast(bitmap_of(nominated.select("key")))
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield from _labels(iter([b.filter(pa.array(in_bitmap(bitmap.value, b.column(1).to_numpy(zero_copy_only=False))))]))
-
-    # the sample's bounds decide what is read as a text again, the check what counts
-    judged = texts.where(F.col("text").isNotNull()).select("id", "key", "text").mapInArrow(check, _LABEL).where(F.col("listed") > share * F.col("words"))
-    return judged.join(nominated, "key").select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), "slope", "residual", "divergence", "listed", "words")
+    labels = labelled(texts)
+    listed = labels.where(F.col("listed") > share * F.col("words"))
+    judged = listed.join(extreme(curves, labels, share, **bounds).drop("words"), "key")
+    return judged.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), "slope", "residual", "divergence", "listed", "words")

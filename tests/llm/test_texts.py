@@ -156,6 +156,28 @@ def test_curves_nominate_few_prose_pages(spark, data):
     assert len(keys) < 0.6 * curves.count() and len(listed & keys) >= 0.95 * len(listed)
 
 
+def test_bounds_are_those_of_all_prose_pages(spark):
+    """More different prose texts than the 4,000 that bounds were once read from: the ranks are over every one of them."""
+    n = 5000
+    stats = [(k, 40, 5, k / n, -1 - k / n, k / n) for k in range(n)] + [(n + k, 40, 5, 5.0, 0.0, 5.0) for k in range(n)]
+    curves = spark.createDataFrame(stats, "key long, words int, size int, divergence double, slope double, residual double")
+    labels = spark.createDataFrame([(str(k), k % (2 * n), 30 if k % (2 * n) >= n else 20, 40) for k in range(3 * n)], "id string, key long, listed int, words int")
+    (bound,) = stuffing.prose_bounds(curves, labels, 0.5, 0.9, 0.01, 10).collect()
+    assert [round(v * stuffing.GRID, 4) for v in (bound.far, bound.steep, bound.flat, bound.rough)] == [0.8998, -1.99, -1.01, 0.9898]
+    got = {r.key for r in stuffing.extreme(curves, labels).collect()}
+    # beyond nine tenths in divergence (which holds the steepest and the roughest), and the flattest hundredth
+    assert got == {*range(n, 2 * n), *range(4499, n), *range(50)}
+
+
+def test_a_rare_length_is_judged_by_all_its_pages(spark):
+    """Twelve prose pages of a length among thousands of others are a reference; a part of them would be too few."""
+    texts = spark.createDataFrame([(str(k), k, f"This is number {k} and it is the one that we have.") for k in range(6012)], "id string, key long, text string")
+    stats = [(k, 40, 5 if k < 6000 else 8, k / 1e3, -1.0, 0.1) for k in range(6012)]
+    curves = spark.createDataFrame(stats, "key long, words int, size int, divergence double, slope double, residual double")
+    got = {r.key for r in stuffing.nominate(curves, texts).collect()}
+    assert got == {*range(5399, 6000), *range(6009, 6012)}
+
+
 def test_short_list_pages_are_found(spark, tmp_path):
     rows = [(1, " ".join(f"#tag{k}" for k in range(15)), "en"), (2, "Home | Jobs | Help", "en"), (3, PROSE, "en"), (4, " ", "en")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
