@@ -19,8 +19,10 @@ two records with a common shingle are candidates. It is meant for small tables a
 Measured: README.
 
 Skew: records with equal shingle sets are one class and join once; only their first copy in a partition emits blocks.
-Blocks meet in a sort-merge join of Spark, which splits a hot block's partition by itself (adaptive skew handling) and
-spills; no task holds the pairs of a block.
+Blocks are sorted by value, once. Those of at most ``HOT`` records give their pairs to the count of agreements, so a row
+of a block gives ``HOT`` / 2 pairs at most. A common passage makes blocks of more records, whose pairs grow with the square
+of the table: of these no pair is shuffled. Their records are held against each other by their sketches, in parts of
+``PART`` records, and only pairs that pass the Hamming bound come out. One agreement in such a block is thus enough.
 
 Texts travel to their partners compressed. Those that no candidate needs are sorted out before the shuffle by a bitmap of
 the needed ids' hashes, of at most ``BITMAP_BITS`` bits: a full bitmap lets more texts pass, the join that follows decides.
@@ -50,6 +52,8 @@ AGREEMENTS = 2
 #: 8 MB at most, 16 bits an id as long as that is less; and how many bits an id sets.
 BITMAP_BITS, BITMAP_HASHES = 1 << 26, 3
 _BITMAP_PIECE = 1 << 16
+#: A block of more records is hot. How many of its records, on either side, a task holds against each other.
+HOT, PART = 16, 2048
 _DOC_BITS = 14
 _HASH_BITS = 64 - _DOC_BITS
 
@@ -196,6 +200,100 @@ def _sketch_batches(width: int, threshold: float, load: float, exact: bool):
     return run
 
 
+#: Kinds of what comes of blocks: a pair (a, b), a pair of a block that is a single shingle, a row (a: record, b: block) of a hot block.
+_PAIR, _SINGLE, _HOT_ROW = 0, 1, 2
+_MET = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def _met(hot: int):
+    """(kind, a, b) of rows (block, record) sorted by both: the pairs of blocks of at most ``hot`` records, the rows of the others."""
+
+    def rows(kind: np.ndarray | int, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(np.broadcast_to(np.asarray(kind, np.int32), len(a))), pa.array(a), pa.array(b)], schema=_MET)
+
+    def pairs(block: np.ndarray, same: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Of whole blocks."""
+        at = _groups(block)
+        size = np.repeat(np.diff(np.append(at, len(block))), np.diff(np.append(at, len(block))))
+        yield rows(_HOT_ROW, same[size > hot], block[size > hot])
+        block, same = block[(size > 1) & (size <= hot)], same[(size > 1) & (size <= hot)]
+        for apart in range(1, min(hot, len(block))):
+            i = np.flatnonzero(block[apart:] == block[:-apart])
+            if not len(i):
+                break
+            yield rows((block[i] & 1).astype(np.int32) * _SINGLE, same[i], same[i + apart])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, same, over = np.empty(0, np.int64), np.empty(0, np.int64), None
+        for b in batches:
+            new = [b.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+            if over is not None:
+                # the hot block that the last batch ended with goes on
+                more = int(np.searchsorted(new[0], over, "right"))
+                if more:
+                    yield rows(_HOT_ROW, new[1][:more], new[0][:more])
+                    new = [x[more:] for x in new]
+                if not len(new[0]):
+                    continue
+                over = None
+            block, same = np.concatenate([block, new[0]]), np.concatenate([same, new[1]])
+            # copies of a record emit blocks in every partition
+            once = np.concatenate([[True], (block[1:] != block[:-1]) | (same[1:] != same[:-1])]) if len(block) else np.empty(0, bool)
+            block, same = block[once], same[once]
+            last = int(np.searchsorted(block, block[-1], "left")) if len(block) else 0
+            if last:
+                yield from pairs(block[:last], same[:last])
+            block, same = block[last:], same[last:]
+            if len(block) > hot:
+                yield rows(_HOT_ROW, same, block)
+                over, block, same = block[0], block[:0], same[:0]
+        if len(block):
+            yield from pairs(block, same)
+
+    return run
+
+
+def _near_sketches(threshold: float):
+    """(a, b) of the records (rep, n, sketch, part) of a hot block, or of two parts of one, whose sketches the bound allows."""
+
+    def run(table: pa.Table) -> pa.Table:
+        n, part = (table.column(c).to_numpy() for c in ("n", "part"))
+        sketch = table.column("sketch").combine_chunks()
+        words, offset = np.diff(sketch.offsets.to_numpy()), sketch.offsets.to_numpy()[:-1]
+        flat = sketch.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        lo, hi = part.min(), part.max()
+        # rows of the first part against those of the second; where there is one part, every pair once
+        one, two = np.flatnonzero(part == lo), np.flatnonzero(part == hi)
+        bits = lambda rows: flat[offset[rows][:, None] + np.arange(words[rows[0]])[None]]
+        found = []
+        for short in np.unique(words[one]):
+            left = one[words[one] == short]
+            for other in np.unique(words[two]):
+                right = two[words[two] == other]
+                x, y = bits(left), bits(right)
+                while x.shape[1] != y.shape[1]:
+                    if x.shape[1] > y.shape[1]:
+                        x = x[:, : x.shape[1] // 2] ^ x[:, x.shape[1] // 2 :]
+                    else:
+                        y = y[:, : y.shape[1] // 2] ^ y[:, y.shape[1] // 2 :]
+                step = max(1, (1 << 21) // y.size)
+                for k in range(0, len(left), step):
+                    rows = left[k : k + step]
+                    small, large = np.minimum(n[rows][:, None], n[right][None]), np.maximum(n[rows][:, None], n[right][None])
+                    far = np.zeros(small.shape, np.int64)
+                    for w in range(y.shape[1]):
+                        far += np.bitwise_count(x[k : k + step, w][:, None] ^ y[:, w][None])
+                    ok = (small >= threshold * large) & (far <= (1 - threshold) / (1 + threshold) * (small + large) + 1e-9)
+                    if lo == hi:
+                        ok &= rows[:, None] < right[None]
+                    i, j = np.nonzero(ok)
+                    found.append(np.stack([rows[i], right[j]]))
+        at = np.concatenate(found, axis=1)
+        return pa.table({"rep_a": table.column("rep").take(pa.array(at[0])), "rep_b": table.column("rep").take(pa.array(at[1]))})
+
+    return run
+
+
 def _slots(hashes: np.ndarray, size: int) -> np.ndarray:
     """The bits of a bitmap that 64-bit hashes set: hashes x BITMAP_HASHES."""
     h = hashes.view(np.uint64)
@@ -316,15 +414,21 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float =
     sketched = materialize(
         source.mapInArrow(_sketch_batches(width, threshold, block_load, exact), "id string, n int, same bigint, sketch array<bigint>, blocks array<bigint>"), "sketches"
     )
-    keys = lambda s: sketched.select(F.explode("blocks").alias("block"), F.col("same").alias(s))
-    met = keys("a").join(keys("b").hint("merge"), "block").where("a < b")
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("c"), F.max(F.col("block").bitwiseAND(1)).alias("single")).where((F.col("c") >= AGREEMENTS) | (F.col("single") == 1))
+    keys = sketched.select(F.explode("blocks").alias("block"), "same").repartition("block").sortWithinPartitions("block", "same")
+    counted = keys.mapInArrow(_met(HOT), "kind int, a bigint, b bigint").groupBy("kind", "a", "b").agg(F.count("*").alias("c"))
+    met = materialize(counted.where((F.col("kind") != _PAIR) | (F.col("c") >= AGREEMENTS)).drop("c"), "met")
     classes = sketched.groupBy("same").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     side = lambda s: classes.select(F.col("same").alias(s), F.col("rep").alias(f"rep_{s}"), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"sketch_{s}"))
     bound = (1 - threshold) / (1 + threshold) * (F.col("n_a") + F.col("n_b"))
     sized = (F.col("n_a") >= threshold * F.col("n_b")) & (F.col("n_b") >= threshold * F.col("n_a"))
-    left = pairs.join(side("a"), "a").join(side("b"), "b").where(sized & (_apart("sketch_a", "sketch_b", threshold) <= bound + 1e-9))
-    candidates = materialize(left.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")), "candidates")
+    pairs = met.where(F.col("kind") != _HOT_ROW).select("a", "b").distinct()
+    left = pairs.join(side("a"), "a").join(side("b"), "b").where(sized & (_apart("sketch_a", "sketch_b", threshold) <= bound + 1e-9)).select("rep_a", "rep_b")
+    hot = met.where(F.col("kind") == _HOT_ROW).select(F.col("a").alias("same"), F.col("b").alias("block"))
+    parts = hot.groupBy("block").agg(F.ceil(F.count("*") / PART).alias("parts"))
+    placed = hot.join(parts, "block").withColumn("part", F.pmod(F.xxhash64("same"), "parts")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    grid = placed.select("same", "block", "part", F.least("part", "with").alias("one"), F.greatest("part", "with").alias("two")).join(classes, "same")
+    right = grid.select("block", "one", "two", "part", "rep", "n", "sketch").groupBy("block", "one", "two").applyInArrow(_near_sketches(threshold), "rep_a string, rep_b string")
+    candidates = materialize(left.union(right).select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct(), "candidates")
     bitmap = spark.sparkContext.broadcast(bitmap_of(candidates.select(F.explode(F.array(F.xxhash64("a"), F.xxhash64("b"))))))
     texts = source.select("id", "text", F.xxhash64("id").alias("hash")).mapInArrow(_packed(bitmap), "id string, packed binary")
     full = candidates.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("packed").alias("text_b")), "b")
@@ -332,6 +436,7 @@ def near_duplicates(df: DataFrame, id_col: str, text: Column, threshold: float =
     links = materialize(links.dropDuplicates(["a", "b"]), "links")  # an id may stand in several rows
     members = materialize(sketched.select("id", "same").join(classes.select("same", F.col("rep").alias("class")), "same").select("id", "class"), "members")
     release(sketched)
+    release(met)
     release(candidates)
     return members, links
 

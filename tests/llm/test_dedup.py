@@ -110,6 +110,32 @@ def test_a_block_that_all_records_share(spark):
     assert {tuple(r) for r in neardup.expand_pairs(members, links).collect()} == model(texts, 3, 0.6)
 
 
+def test_hot_blocks_give_rows_and_the_others_pairs():
+    """A block's pairs are counted up to a number of records; beyond it every record is a row, however batches are cut."""
+    import pyarrow as pa
+
+    groups = {3: [7], 8: [4, 4, 9], 10: [1, 2, 5], 13: [6, 8], 20: list(range(100, 900)), 30: list(range(5)), 32: [1, 1, 1, 1, 1, 1], 41: [2, 3, 4, 5]}
+    rows = [(b, r) for b in sorted(groups) for r in groups[b]]
+    kinds = {(neardup._PAIR, b % 2): neardup._SINGLE if b % 2 else neardup._PAIR for b in groups}
+    want = {(neardup._HOT_ROW, r, b) for b in (20, 30) for r in groups[b]}
+    want |= {(kinds[neardup._PAIR, b % 2], x, y) for b in groups if len(set(groups[b])) <= 4 for x, y in combinations(sorted(set(groups[b])), 2)}
+    for size in (1, 2, 5, 64, 10_000):
+        batches = [pa.record_batch([pa.array([x[k] for x in rows[i : i + size]], pa.int64()) for k in (0, 1)], names=["block", "same"]) for i in range(0, len(rows), size)]
+        got = [(r["kind"], r["a"], r["b"]) for b in neardup._met(4)(iter(batches)) for r in b.to_pylist()]
+        assert set(got) == want and len(got) == len(want)
+
+
+@pytest.mark.parametrize("seed,hot,part", [(11, 1, 3), (12, 2, 10_000), (13, 4, 5)])
+def test_pairs_of_hot_blocks_equal_brute_force(spark, monkeypatch, seed, hot, part):
+    monkeypatch.setattr(neardup, "HOT", hot)
+    monkeypatch.setattr(neardup, "PART", part)
+    texts = corpus(seed, 60)
+    df = spark.createDataFrame(list(texts.items()), "key string, text string")
+    members, links = neardup.near_duplicates(df, "key", F.col("text"), 0.6, 3)
+    found = [tuple(r) for r in neardup.expand_pairs(members, links).collect()]
+    assert len(found) == len(set(found)) and set(found) == model(texts, 3, 0.6)
+
+
 def test_bitmap_holds_every_id(spark):
     hashes = spark.range(5000).select(F.xxhash64("id"))
     bits, those = neardup.bitmap_of(hashes), np.array([r[0] for r in hashes.collect()], np.int64)
