@@ -155,6 +155,12 @@ def test_against_sql(spark, data, name):
     assert compare(spark, QUERIES[name], SQL[name], data) == ""
 
 
+def test_groups_over_hot_blocks_against_sql(spark, data, monkeypatch):
+    """Every block that two records share is hot: no pair is counted, and the groups and their survivors are the same."""
+    monkeypatch.setattr(neardup, "HOT", 1)
+    assert compare(spark, QUERIES["p3_found"], SQL["p3_found"], data) == ""
+
+
 def test_classes_cover_all_texts(spark, data):
     df = QUERIES["p2_classes"](spark, data)
     jobs = spark.read.parquet(f"{data}/jobs.parquet").where("length(job_description) >= 200")
